@@ -92,9 +92,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RAW_PRODUCT, part=table(spark, sf_dir, "part"))
+
+
+def raw_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RAW_HEADER, orders=table(spark, sf_dir, "orders"))
+
+
+def raw_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RAW_DETAIL, lineitem=table(spark, sf_dir, "lineitem"))
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    return RawTables(
-        product=spark.sql(RAW_PRODUCT, part=table(spark, sf_dir, "part")),
-        header=spark.sql(RAW_HEADER, orders=table(spark, sf_dir, "orders")),
-        detail=spark.sql(RAW_DETAIL, lineitem=table(spark, sf_dir, "lineitem")),
-    )
+    return RawTables(raw_product(spark, sf_dir), raw_header(spark, sf_dir), raw_detail(spark, sf_dir))

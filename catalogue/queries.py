@@ -8,72 +8,85 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.planted import raw_tables, table
+from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, table
 from tallyloom.functions.dates import business_days
 from tallyloom.operators import review, standardise, validate
 from tallyloom.plans import pipeline, publish, quality, reports, store
 from tallyloom.schemas import DATE_PATTERN, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
-from tallyloom.sources.csv import RawTables, read_csv, write_csv
+from tallyloom.sources.csv import read_csv, write_csv
 from tallyloom.sources.scratch import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 PREVIEW_ROWS = 5
+LAYOUTS = (PRODUCT, ORDER_HEADER, ORDER_DETAIL)
+NAMES = tuple(layout.name for layout in LAYOUTS)
+MINIMUMS = {minimum.column: minimum for layout in LAYOUTS for minimum in layout.minimums}
 PRIORITY_PATTERN = "^[0-9]-[A-Z]+$"
 
 
-def _on_raw(build: Callable[[RawTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(raw_tables(spark, sf_dir))
+def _table(name: str) -> Query:
+    return lambda spark, sf_dir: table(spark, sf_dir, name)
 
 
-def _on_store(build: Callable[[store.StoreTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(store.store_tables(raw_tables(spark, sf_dir)))
+def _over(source: Query, build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(source(spark, sf_dir))
 
 
-def _on_publish(build: Callable[[publish.PublishTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(publish.publish_tables(store.store_tables(raw_tables(spark, sf_dir))))
+def _orphans(child: Query, child_key: str, parent: Query, parent_key: str) -> Query:
+    return lambda spark, sf_dir: validate.orphans(child(spark, sf_dir), parent(spark, sf_dir), child_key, parent_key)
 
 
-def _on_table(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(table(spark, sf_dir, name))
+def _report(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(published_orders(spark, sf_dir), published_product(spark, sf_dir))
 
 
-def _orphans_between(child: str, child_key: str, parent: str, parent_key: str) -> Query:
-    return lambda spark, sf_dir: validate.orphans(
-        table(spark, sf_dir, child), table(spark, sf_dir, parent), child_key, parent_key
-    )
+stored_product = _over(raw_product, store.store_product)
+stored_header = _over(raw_header, store.store_header)
+stored_detail = _over(raw_detail, store.store_detail)
+published_product = _over(stored_product, publish.publish_product)
+
+
+def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.publish_orders(stored_detail(spark, sf_dir), stored_header(spark, sf_dir))
+
+
+def _raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.row_counts(dict(zip(NAMES, raw_tables(spark, sf_dir))))
 
 
-def _bad_decimals(raw: RawTables) -> DataFrame:
-    layouts = (PRODUCT, ORDER_HEADER, ORDER_DETAIL)
+def _quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_summary(raw_tables(spark, sf_dir))
+
+
+def _bad_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         review.bad_decimals(df, layout.of_type("double")).select(F.lit(layout.name).alias("TableName"), "*")
-        for df, layout in zip(raw, layouts)
+        for df, layout in zip(raw_tables(spark, sf_dir), LAYOUTS)
     ]
     return reduce(DataFrame.unionAll, parts)
 
 
-def _untrimmed_after_trim(raw: RawTables) -> DataFrame:
-    trimmed = standardise.trim_columns(raw.product, PRODUCT.trimmed)
+def _untrimmed_after_trim(product: DataFrame) -> DataFrame:
+    trimmed = standardise.trim_columns(product, PRODUCT.trimmed)
     return review.row_count(review.untrimmed_rows(trimmed, PRODUCT.trimmed), "UntrimmedRows")
 
 
 def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_tables(spark, sf_dir)
-    names = [layout.name for layout in (PRODUCT, ORDER_HEADER, ORDER_DETAIL)]
-    return validate.reconcile(dict(zip(names, zip(raw, store.store_tables(raw)))))
+    return validate.reconcile(dict(zip(NAMES, zip(raw, store.store_tables(raw)))))
 
 
 def _read_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the raw products as CSV and read them back as text."""
     path = fresh_folder(spark, "csv") + f"/{PRODUCT.file_name}"
-    write_csv(raw_tables(spark, sf_dir).product, path)
+    write_csv(raw_product(spark, sf_dir), path)
     return read_csv(spark, path)
 
 
 def _read_csv_header_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the order headers, with the names given and checked against the file."""
     path = fresh_folder(spark, "csv") + f"/{ORDER_HEADER.file_name}"
-    write_csv(raw_tables(spark, sf_dir).header, path)
+    write_csv(raw_header(spark, sf_dir), path)
     return read_csv(spark, path, schema=ORDER_HEADER.raw_schema)
 
 
@@ -114,72 +127,72 @@ QUERIES: dict[str, Query] = {
     "read_csv_header_roundtrip": _read_csv_header_roundtrip,
     "q1_from_layers": _top_color_from_layers,
     # Review of the raw tables
-    "raw_row_counts": _on_raw(
-        lambda raw: review.row_counts(dict(zip((PRODUCT.name, ORDER_HEADER.name, ORDER_DETAIL.name), raw)))
-    ),
-    "first_products": _on_raw(lambda raw: review.first_rows(raw.product, PREVIEW_ROWS, raw.product.columns)),
-    "null_profile_product": _on_raw(lambda raw: review.null_profile(raw.product)),
-    "null_profile_header": _on_raw(lambda raw: review.null_profile(raw.header)),
-    "null_profile_detail": _on_raw(lambda raw: review.null_profile(raw.detail)),
-    "rows_with_nulls": _on_raw(lambda raw: review.rows_with_nulls(raw.product)),
-    "duplicate_product_ids": _on_raw(lambda raw: review.duplicate_keys(raw.product, ["ProductID"])),
-    "duplicate_order_ids": _on_raw(lambda raw: review.duplicate_keys(raw.header, ["SalesOrderID"])),
-    "duplicate_line_ids": _on_raw(lambda raw: review.duplicate_keys(raw.detail, ["SalesOrderDetailID"])),
-    "duplicate_product_rows": _on_raw(lambda raw: review.rows_of_duplicate_keys(raw.product, ["ProductID"])),
-    "bad_order_dates": _on_raw(lambda raw: review.bad_format(raw.header, "OrderDate", DATE_PATTERN)),
-    "bad_ship_dates": _on_raw(lambda raw: review.bad_format(raw.header, "ShipDate", DATE_PATTERN)),
-    "bad_decimals": _on_raw(_bad_decimals),
-    "untrimmed_unit_codes": _on_raw(lambda raw: review.untrimmed_rows(raw.product, PRODUCT.trimmed)),
-    "untrimmed_after_trim": _on_raw(_untrimmed_after_trim),
-    "quality_summary": _on_raw(quality.quality_summary),
+    "raw_row_counts": _raw_row_counts,
+    "first_products": _over(raw_product, lambda df: review.first_rows(df, PREVIEW_ROWS, df.columns)),
+    "null_profile_product": _over(raw_product, review.null_profile),
+    "null_profile_header": _over(raw_header, review.null_profile),
+    "null_profile_detail": _over(raw_detail, review.null_profile),
+    "rows_with_nulls": _over(raw_product, review.rows_with_nulls),
+    "duplicate_product_ids": _over(raw_product, lambda df: review.duplicate_keys(df, ["ProductID"])),
+    "duplicate_order_ids": _over(raw_header, lambda df: review.duplicate_keys(df, ["SalesOrderID"])),
+    "duplicate_line_ids": _over(raw_detail, lambda df: review.duplicate_keys(df, ["SalesOrderDetailID"])),
+    "duplicate_product_rows": _over(raw_product, lambda df: review.rows_of_duplicate_keys(df, ["ProductID"])),
+    "bad_order_dates": _over(raw_header, lambda df: review.bad_format(df, "OrderDate", DATE_PATTERN)),
+    "bad_ship_dates": _over(raw_header, lambda df: review.bad_format(df, "ShipDate", DATE_PATTERN)),
+    "bad_decimals": _bad_decimals,
+    "untrimmed_unit_codes": _over(raw_product, lambda df: review.untrimmed_rows(df, PRODUCT.trimmed)),
+    "untrimmed_after_trim": _over(raw_product, _untrimmed_after_trim),
+    "quality_summary": _quality_summary,
     # Store layer
-    "store_product": _on_store(lambda s: s.product),
-    "store_header": _on_store(lambda s: s.header),
-    "store_detail": _on_store(lambda s: s.detail),
+    "store_product": stored_product,
+    "store_header": stored_header,
+    "store_detail": stored_detail,
     # Validation of the store layer
-    "pk_duplicates_product": _on_store(lambda s: review.duplicate_keys(s.product, [PRODUCT.key])),
-    "pk_duplicates_header": _on_store(lambda s: review.duplicate_keys(s.header, [ORDER_HEADER.key])),
-    "pk_duplicates_detail": _on_store(lambda s: review.duplicate_keys(s.detail, [ORDER_DETAIL.key])),
-    "pk_nulls_product": _on_store(lambda s: validate.null_keys(s.product, [PRODUCT.key])),
-    "pk_nulls_header": _on_store(lambda s: validate.null_keys(s.header, [ORDER_HEADER.key])),
-    "pk_nulls_detail": _on_store(lambda s: validate.null_keys(s.detail, [ORDER_DETAIL.key])),
-    "orphans_header": _on_store(lambda s: validate.orphans(s.detail, s.header, "SalesOrderID", "SalesOrderID")),
-    "orphans_product": _on_store(lambda s: validate.orphans(s.detail, s.product, "ProductID", "ProductID")),
-    "ship_before_order": _on_store(lambda s: validate.out_of_order(s.header, "OrderDate", "ShipDate")),
-    "range_order_qty": _on_store(lambda s: validate.below_minimum(s.detail, Minimum("OrderQty", inclusive=False))),
-    "range_unit_price": _on_store(lambda s: validate.below_minimum(s.detail, Minimum("UnitPrice"))),
-    "range_discount": _on_store(lambda s: validate.below_minimum(s.detail, Minimum("UnitPriceDiscount"))),
-    "range_freight": _on_store(lambda s: validate.below_minimum(s.header, Minimum("Freight"))),
+    "pk_duplicates_product": _over(stored_product, lambda df: review.duplicate_keys(df, [PRODUCT.key])),
+    "pk_duplicates_header": _over(stored_header, lambda df: review.duplicate_keys(df, [ORDER_HEADER.key])),
+    "pk_duplicates_detail": _over(stored_detail, lambda df: review.duplicate_keys(df, [ORDER_DETAIL.key])),
+    "pk_nulls_product": _over(stored_product, lambda df: validate.null_keys(df, [PRODUCT.key])),
+    "pk_nulls_header": _over(stored_header, lambda df: validate.null_keys(df, [ORDER_HEADER.key])),
+    "pk_nulls_detail": _over(stored_detail, lambda df: validate.null_keys(df, [ORDER_DETAIL.key])),
+    "orphans_header": _orphans(stored_detail, "SalesOrderID", stored_header, "SalesOrderID"),
+    "orphans_product": _orphans(stored_detail, "ProductID", stored_product, "ProductID"),
+    "ship_before_order": _over(stored_header, lambda df: validate.out_of_order(df, "OrderDate", "ShipDate")),
+    "range_order_qty": _over(stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["OrderQty"])),
+    "range_unit_price": _over(stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["UnitPrice"])),
+    "range_discount": _over(stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["UnitPriceDiscount"])),
+    "range_freight": _over(stored_header, lambda df: validate.below_minimum(df, MINIMUMS["Freight"])),
     "row_reconciliation": _reconciliation,
     # Publish layer and its checks
-    "publish_product": _on_publish(lambda p: p.product),
-    "publish_orders": _on_publish(lambda p: p.orders),
-    "color_still_null": _on_publish(lambda p: publish.rows_without_color(p.product)),
-    "color_na_sample": _on_publish(lambda p: publish.labelled_color_sample(p.product, PREVIEW_ROWS)),
-    "category_rule_rows": _on_publish(lambda p: publish.rows_covered_by_category_rule(p.product)),
-    "backfill_counts": _on_store(lambda s: publish.backfill_counts(s.product)),
+    "publish_product": published_product,
+    "publish_orders": published_orders,
+    "color_still_null": _over(published_product, publish.rows_without_color),
+    "color_na_sample": _over(published_product, lambda df: publish.labelled_color_sample(df, PREVIEW_ROWS)),
+    "category_rule_rows": _over(published_product, publish.rows_covered_by_category_rule),
+    "backfill_counts": _over(stored_product, publish.backfill_counts),
     # Reports
-    "q1_top_color": _on_publish(lambda p: reports.top_color_per_year(p.orders, p.product)),
-    "q2_lead_time": _on_publish(lambda p: reports.lead_time_by_known_category(p.orders, p.product)),
-    "q2_with_null_category": _on_publish(lambda p: reports.lead_time_by_category(p.orders, p.product)),
-    "revenue_by_year_color": _on_publish(lambda p: reports.revenue_by_year_color(p.orders, p.product)),
-    "ranked_colors": _on_publish(lambda p: reports.ranked_colors(p.orders, p.product)),
+    "q1_top_color": _report(reports.top_color_per_year),
+    "q2_lead_time": _report(reports.lead_time_by_known_category),
+    "q2_with_null_category": _report(reports.lead_time_by_category),
+    "revenue_by_year_color": _report(reports.revenue_by_year_color),
+    "ranked_colors": _report(reports.ranked_colors),
     # The same operators on the test tables as they are: other types, composite keys, long date gaps
-    "null_profile_lineitem": _on_table("lineitem", review.null_profile),
-    "null_profile_documents": _on_table("documents", review.null_profile),
-    "rows_with_nulls_events": _on_table("events", review.rows_with_nulls),
-    "untrimmed_documents": _on_table("documents", lambda df: review.untrimmed_rows(df, ["text", "lang", "source"])),
-    "bad_order_priorities": _on_table("orders", lambda df: review.bad_format(df, "o_orderpriority", PRIORITY_PATTERN)),
-    "lineitem_duplicate_keys": _on_table(
-        "lineitem", lambda df: review.duplicate_keys(df, ["l_orderkey", "l_linenumber"])
+    "null_profile_lineitem": _over(_table("lineitem"), review.null_profile),
+    "null_profile_documents": _over(_table("documents"), review.null_profile),
+    "rows_with_nulls_events": _over(_table("events"), review.rows_with_nulls),
+    "untrimmed_documents": _over(_table("documents"), lambda df: review.untrimmed_rows(df, ["text", "lang", "source"])),
+    "bad_order_priorities": _over(
+        _table("orders"), lambda df: review.bad_format(df, "o_orderpriority", PRIORITY_PATTERN)
+    ),
+    "lineitem_duplicate_keys": _over(
+        _table("lineitem"), lambda df: review.duplicate_keys(df, ["l_orderkey", "l_linenumber"])
     ),
-    "lineitem_duplicate_rows": _on_table(
-        "lineitem", lambda df: review.rows_of_duplicate_keys(df, ["l_orderkey", "l_linenumber"])
+    "lineitem_duplicate_rows": _over(
+        _table("lineitem"), lambda df: review.rows_of_duplicate_keys(df, ["l_orderkey", "l_linenumber"])
     ),
-    "lineitem_orphans_orders": _orphans_between("lineitem", "l_orderkey", "orders", "o_orderkey"),
-    "orders_without_lines": _orphans_between("orders", "o_orderkey", "lineitem", "l_orderkey"),
-    "documents_without_labels": _orphans_between("documents", "doc_id", "labels", "doc_id"),
+    "lineitem_orphans_orders": _orphans(_table("lineitem"), "l_orderkey", _table("orders"), "o_orderkey"),
+    "orders_without_lines": _orphans(_table("orders"), "o_orderkey", _table("lineitem"), "l_orderkey"),
+    "documents_without_labels": _orphans(_table("documents"), "doc_id", _table("labels"), "doc_id"),
     "lineitem_ship_before_order": _lineitem_ship_before_order,
     "lineitem_lead_time": _lineitem_lead_time,
-    "customer_below_zero_balance": _on_table("customer", lambda df: validate.below_minimum(df, Minimum("c_acctbal"))),
+    "customer_below_zero_balance": _over(_table("customer"), lambda df: validate.below_minimum(df, Minimum("c_acctbal"))),
 }

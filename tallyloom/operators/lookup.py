@@ -1,4 +1,4 @@
-"""Fetching the full rows behind a set of keys."""
+"""Joins to key sets and dimensions whose size decides how they are joined."""
 
 from __future__ import annotations
 
@@ -14,25 +14,62 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _BYTES_PER_ROW = 32
 
 
-def _size_in_memory(keys: DataFrame) -> int:
-    """Upper estimate from the real rows: a fixed cost each, plus the text of every key."""
-    text = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns), F.lit(0))
-    return keys.agg(F.sum((text + _BYTES_PER_ROW).cast("long"))).first()[0] or 0
+def is_small(table: DataFrame) -> bool:
+    """Measure a narrow table from its rows: a fixed cost each, plus every value written as text.
+
+    This is an aggregate over the table's few columns; only the one sum comes back.
+    """
+    text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+    size = table.agg(F.sum((sum(text) + _BYTES_PER_ROW).cast("long"))).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
 
 
 def rows_with_keys(rows: DataFrame, keys: DataFrame, null_matches: bool = False) -> DataFrame:
     """Rows whose key is among ``keys``, a table of distinct keys under the same column names.
 
-    Keys are found first, in a narrow plan that combines equal keys before any
-    shuffle, and settled. If their measured size is small, as for a report of
-    exceptions, they go to every task and the wide rows are not shuffled at all.
-    Otherwise both sides are shuffled on the key, straight from their scans, so
-    adaptive execution can split a key that holds much of the table.
+    The keys are found first, in a narrow plan that combines equal keys before
+    any shuffle, and settled. If they are few, as in a report of exceptions,
+    they go to every task and the wide rows are not shuffled at all. Otherwise
+    both sides are shuffled on the key, straight from their scans, so adaptive
+    execution can split a key that holds much of the table.
     """
     settled = settle(keys)
     wanted = settled.select(*[F.col(c).alias(f"_wanted_{c}") for c in keys.columns])
-    if _size_in_memory(settled) <= BROADCAST_BYTES:
+    if is_small(settled):
         wanted = F.broadcast(wanted)
     pairs = [(F.col(c), F.col(f"_wanted_{c}")) for c in keys.columns]
     same = [a.eqNullSafe(b) if null_matches else a == b for a, b in pairs]
     return rows.join(wanted, reduce(and_, same), "left_semi")
+
+
+def rows_without_match(rows: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Rows whose key is not in the parent; a NULL key has no match.
+
+    A small parent goes to every task, and the rows are read once and not
+    shuffled. For a large one the search runs on the distinct keys of both
+    sides, so a key that holds much of either table is one row before the
+    shuffle; the wide rows are then fetched for the missing keys.
+    """
+    parent_keys = parent.select(F.col(parent_key).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
+    matched = F.col(key) == F.col("_parent_key")
+    if is_small(parent_keys):
+        return rows.join(F.broadcast(parent_keys), matched, "left_anti")
+    missing = rows.select(key).distinct().join(parent_keys.distinct(), matched, "left_anti")
+    return rows_with_keys(rows, missing, null_matches=True)
+
+
+def aggregate_by_attribute(
+    rows: DataFrame, groups: list[str], parts: list, dimension: DataFrame, key: str, attribute: str
+) -> DataFrame:
+    """Aggregate rows by ``groups`` and an attribute that a left join to the dimension adds.
+
+    Returns one or more rows per group and attribute, holding the partial
+    aggregates ``parts``; the caller merges them. A small dimension is joined
+    first, in the tasks that read the rows. For a large one the rows are
+    aggregated by its key first, so that the join meets one row per group and
+    key, however many rows a key has.
+    """
+    lookup = settle(dimension.select(key, attribute))
+    if is_small(lookup):
+        return rows.join(F.broadcast(lookup), key, "left").groupBy(*groups, attribute).agg(*parts)
+    return rows.groupBy(*groups, key).agg(*parts).join(lookup, key, "left").drop(key)

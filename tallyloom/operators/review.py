@@ -30,7 +30,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def rows_of_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows behind the repeated keys. Rows with a NULL in the key match nothing."""
-    return rows_with_keys(df, duplicate_keys(df.dropna(subset=list(keys)), keys).select(*keys))
+    return rows_with_keys(df, duplicate_keys(df.where(~any_null(keys)), keys).select(*keys))
 
 
 def bad_format(df: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.conditions import any_null, is_below
-from tallyloom.operators.lookup import rows_with_keys
+from tallyloom.operators.lookup import rows_without_match
 from tallyloom.schemas import Minimum
 
 
@@ -19,17 +19,8 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose key is not in the parent; a NULL key is an orphan too.
-
-    The search runs on distinct keys only, so a key that holds much of either
-    table is one row before the shuffle. The wide child rows are then fetched
-    for the missing keys.
-    """
-    parent_keys = parent.select(F.col(parent_key).alias("_parent_key")).dropna().distinct()
-    missing = child.select(child_key).distinct().join(
-        parent_keys, F.col(child_key) == F.col("_parent_key"), "left_anti"
-    )
-    return rows_with_keys(child, missing, null_matches=True)
+    """Child rows whose key is not in the parent; a NULL key is an orphan too."""
+    return rows_without_match(child, child_key, parent, parent_key)
 
 
 def out_of_order(df: DataFrame, earlier: str, later: str) -> DataFrame:

@@ -1,8 +1,4 @@
-"""The two reports and their intermediate tables.
-
-Both add up order lines per product before looking the product up, so the
-lookup sees one row per product (and year), however many lines a product has.
-"""
+"""The two reports and their intermediate tables."""
 
 from __future__ import annotations
 
@@ -11,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.categories import CATEGORY
 from tallyloom.functions.totals import merge_mean, merge_sum, partial_mean, partial_sum
+from tallyloom.operators.lookup import aggregate_by_attribute
+from tallyloom.schemas import PRODUCT
 
 
 def revenue_by_year_color(orders: DataFrame, product: DataFrame) -> DataFrame:
@@ -18,12 +16,12 @@ def revenue_by_year_color(orders: DataFrame, product: DataFrame) -> DataFrame:
 
     A line whose product is unknown has a NULL colour, not the missing-colour label.
     """
-    dated = orders.where(F.col("OrderDate").isNotNull())
-    per_product = dated.groupBy(F.year("OrderDate").alias("Year"), "ProductID").agg(
-        *partial_sum("TotalLineExtendedPrice")
+    lines = orders.where(F.col("OrderDate").isNotNull()).select(
+        F.year("OrderDate").alias("Year"), PRODUCT.key, "TotalLineExtendedPrice"
     )
-    with_color = per_product.join(product.select("ProductID", "Color"), "ProductID", "left")
-    return with_color.groupBy("Year", "Color").agg(merge_sum().alias("TotalRevenue"))
+    parts = partial_sum("TotalLineExtendedPrice")
+    partial = aggregate_by_attribute(lines, ["Year"], parts, product, PRODUCT.key, "Color")
+    return partial.groupBy("Year", "Color").agg(merge_sum().alias("TotalRevenue"))
 
 
 def ranked_colors(orders: DataFrame, product: DataFrame) -> DataFrame:
@@ -45,9 +43,10 @@ def top_color_per_year(orders: DataFrame, product: DataFrame) -> DataFrame:
 
 def lead_time_by_category(orders: DataFrame, product: DataFrame) -> DataFrame:
     """Mean lead time over the order lines of each category, longest first, lines of no category included."""
-    per_product = orders.groupBy("ProductID").agg(*partial_mean("LeadTimeInBusinessDays"))
-    with_category = per_product.join(product.select("ProductID", CATEGORY), "ProductID", "left")
-    means = with_category.groupBy(CATEGORY).agg(merge_mean().alias("AvgLeadTimeInBusinessDays"))
+    lines = orders.select(PRODUCT.key, "LeadTimeInBusinessDays")
+    parts = partial_mean("LeadTimeInBusinessDays")
+    partial = aggregate_by_attribute(lines, [], parts, product, PRODUCT.key, CATEGORY)
+    means = partial.groupBy(CATEGORY).agg(merge_mean().alias("AvgLeadTimeInBusinessDays"))
     return means.orderBy(F.desc("AvgLeadTimeInBusinessDays"), CATEGORY)
 
 
