@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_PER_UNIT = 1_000_000
+_PER_UNIT = 1e6
 # In millionths. Beyond this a double has too few digits left to round to one.
 _EXACT_BELOW = 1e15
 
@@ -26,7 +26,7 @@ def partial_sum(column: str) -> list[Column]:
     millionths = F.rint(amount * _PER_UNIT)
     exact = F.abs(millionths) < _EXACT_BELOW
     units = F.floor(millionths / _PER_UNIT)
-    rest = (millionths - units * _PER_UNIT).cast("long")
+    rest = (millionths - units.cast("double") * _PER_UNIT).cast("long")
     return [
         F.try_sum(F.when(exact, units)).alias("_units"),
         F.try_sum(F.when(exact, rest)).alias("_rest"),

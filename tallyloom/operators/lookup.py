@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.scratch import settle
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 _BYTES_PER_ROW = 32
 
 

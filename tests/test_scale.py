@@ -30,9 +30,9 @@ def skew_settings(setting):
     setting(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB",
     )
 
 
@@ -71,6 +71,19 @@ def test_hot_order_is_split_in_the_main_join(hot_lines, headers):
     assert orders.count() == LINES
 
 
+@pytest.mark.usefixtures("skew_settings")
+def test_hot_order_is_split_in_the_reports(hot_lines, headers):
+    """Prices differ from line to line here, as equal ones compress to less than any threshold."""
+    price = (F.abs(F.xxhash64("SalesOrderDetailID")) % 1_000_000).cast("string")
+    lines = store_detail(hot_lines.withColumn("UnitPrice", price))
+    orders = publish.publish_orders(lines, store_header(headers))
+    product = lines.select("ProductID").distinct().withColumn("Color", F.lit("Red"))
+    revenue = reports.revenue_by_year_color(orders, product)
+    assert "SortMergeJoin(skew=true)" in final_plan(revenue)
+    expected = lines.agg(F.sum(F.col("OrderQty") * (F.col("UnitPrice").cast("decimal(12,2)") - F.lit(0.25).cast("decimal(12,2)"))))
+    assert sum(r.TotalRevenue for r in revenue.collect()) == float(expected.first()[0])
+
+
 @pytest.mark.usefixtures("skew_settings")
 def test_hot_orphan_is_split_when_the_missing_keys_are_too_many_to_broadcast(hot_lines, headers, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)

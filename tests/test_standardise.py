@@ -77,6 +77,11 @@ def test_bad_text_becomes_null(rows):
     ]
 
 
+def test_date_with_a_final_line_break_has_the_shape(rows):
+    """The end of the pattern also matches before a final line break, and the cast drops it."""
+    assert apply_types(rows([("2021-06-07\n",)], "d string"), {"d": "date"}).first().d == date(2021, 6, 7)
+
+
 def test_store_tables_have_their_types_and_keep_other_columns(spark):
     for layout, build in ((PRODUCT, store_product), (ORDER_HEADER, store_header), (ORDER_DETAIL, store_detail)):
         raw = spark.createDataFrame([], layout.raw_schema)
