@@ -12,13 +12,12 @@ from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, t
 from tallyloom.functions.dates import business_days
 from tallyloom.operators import review, standardise, validate
 from tallyloom.plans import pipeline, publish, quality, reports, store
-from tallyloom.schemas import DATE_PATTERN, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
+from tallyloom.schemas import DATE_PATTERN, LAYOUTS, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
 from tallyloom.sources.csv import read_csv, write_csv
 from tallyloom.sources.scratch import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 PREVIEW_ROWS = 5
-LAYOUTS = (PRODUCT, ORDER_HEADER, ORDER_DETAIL)
 NAMES = tuple(layout.name for layout in LAYOUTS)
 MINIMUMS = {minimum.column: minimum for layout in LAYOUTS for minimum in layout.minimums}
 PRIORITY_PATTERN = "^[0-9]-[A-Z]+$"
@@ -194,5 +193,7 @@ QUERIES: dict[str, Query] = {
     "documents_without_labels": _orphans(_table("documents"), "doc_id", _table("labels"), "doc_id"),
     "lineitem_ship_before_order": _lineitem_ship_before_order,
     "lineitem_lead_time": _lineitem_lead_time,
-    "customer_below_zero_balance": _over(_table("customer"), lambda df: validate.below_minimum(df, Minimum("c_acctbal"))),
+    "customer_below_zero_balance": _over(
+        _table("customer"), lambda df: validate.below_minimum(df, Minimum("c_acctbal"))
+    ),
 }

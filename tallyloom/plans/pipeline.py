@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from tallyloom.plans.publish import PublishTables, publish_orders, publish_product
 from tallyloom.plans.store import StoreTables, store_tables
+from tallyloom.schemas import LAYOUTS, Layouts
 from tallyloom.sources.csv import RawTables
 from tallyloom.sources.layers import read_layer, write_layer
 
 _YEAR = "OrderYear"
 
 
-def write_store(raw: RawTables, folder: str) -> StoreTables:
+def write_store(raw: RawTables, folder: str, layouts: Layouts = LAYOUTS) -> StoreTables:
     """Write the three store tables, and return them as read back."""
-    store = store_tables(raw)
+    store = store_tables(raw, layouts)
     for name, df in store._asdict().items():
         write_layer(df, f"{folder}/store_{name}")
     return read_store(raw.product.sparkSession, folder)

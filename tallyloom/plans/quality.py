@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.conditions import breaks_pattern, has_outer_spaces, is_below
 from tallyloom.functions.typing import lost_in_typing
 from tallyloom.operators.standardise import apply_types
-from tallyloom.schemas import DATE_PATTERN, DECIMAL_PATTERN, ORDER_DETAIL, ORDER_HEADER, PRODUCT, TableLayout
+from tallyloom.schemas import DATE_PATTERN, DECIMAL_PATTERN, LAYOUTS, Layouts, TableLayout
 from tallyloom.sources.csv import RawTables
 
 
@@ -56,7 +56,6 @@ def table_quality(raw: DataFrame, layout: TableLayout) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
-def quality_summary(raw: RawTables) -> DataFrame:
+def quality_summary(raw: RawTables, layouts: Layouts = LAYOUTS) -> DataFrame:
     """The lines of ``table_quality`` for all three tables."""
-    tables = zip(raw, (PRODUCT, ORDER_HEADER, ORDER_DETAIL))
-    return reduce(DataFrame.unionAll, [table_quality(df, layout) for df, layout in tables])
+    return reduce(DataFrame.unionAll, [table_quality(df, layout) for df, layout in zip(raw, layouts)])

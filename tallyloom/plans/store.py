@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tallyloom.functions.categories import CATEGORY, SUBCATEGORY
 from tallyloom.operators.standardise import apply_types, most_complete, trim_columns
-from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT
+from tallyloom.schemas import LAYOUTS, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Layouts, TableLayout
 from tallyloom.sources.csv import RawTables
 
 
@@ -18,19 +18,23 @@ class StoreTables(NamedTuple):
     detail: DataFrame
 
 
-def store_product(raw: DataFrame) -> DataFrame:
+def store_product(raw: DataFrame, layout: TableLayout = PRODUCT) -> DataFrame:
     """Colour stays NULL here, so that null checks on the store show the real gaps."""
-    trimmed = trim_columns(raw, PRODUCT.trimmed)
-    return apply_types(most_complete(trimmed, [PRODUCT.key], [CATEGORY, SUBCATEGORY]), PRODUCT.typed)
+    trimmed = trim_columns(raw, layout.trimmed)
+    return apply_types(most_complete(trimmed, [layout.key], [CATEGORY, SUBCATEGORY]), layout.typed)
 
 
-def store_header(raw: DataFrame) -> DataFrame:
-    return apply_types(raw, ORDER_HEADER.typed)
+def store_header(raw: DataFrame, layout: TableLayout = ORDER_HEADER) -> DataFrame:
+    return apply_types(raw, layout.typed)
 
 
-def store_detail(raw: DataFrame) -> DataFrame:
-    return apply_types(raw, ORDER_DETAIL.typed)
+def store_detail(raw: DataFrame, layout: TableLayout = ORDER_DETAIL) -> DataFrame:
+    return apply_types(raw, layout.typed)
 
 
-def store_tables(raw: RawTables) -> StoreTables:
-    return StoreTables(store_product(raw.product), store_header(raw.header), store_detail(raw.detail))
+def store_tables(raw: RawTables, layouts: Layouts = LAYOUTS) -> StoreTables:
+    """Keys are 32-bit by default; larger ones need layouts made with ``TableLayout.with_types``."""
+    product, header, detail = layouts
+    return StoreTables(
+        store_product(raw.product, product), store_header(raw.header, header), store_detail(raw.detail, detail)
+    )

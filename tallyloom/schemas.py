@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -55,6 +55,10 @@ class TableLayout:
     def of_type(self, spark_type: str) -> list[str]:
         return [c for c, t in self.columns.items() if t == spark_type]
 
+    def with_types(self, **types: str) -> TableLayout:
+        """The same layout with other store types, such as bigint for keys beyond 32 bits."""
+        return replace(self, columns={**self.columns, **types})
+
     @property
     def typed(self) -> dict[str, str]:
         """The columns whose store type is not text."""
@@ -125,3 +129,6 @@ ORDER_DETAIL = TableLayout(
         Minimum("UnitPriceDiscount"),
     ),
 )
+
+Layouts = tuple[TableLayout, TableLayout, TableLayout]
+LAYOUTS: Layouts = (PRODUCT, ORDER_HEADER, ORDER_DETAIL)

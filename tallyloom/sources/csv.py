@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT
+from tallyloom.schemas import LAYOUTS
 
 _DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -46,6 +46,4 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_raw_tables(spark: SparkSession, folder: str) -> RawTables:
     """The three source files of a folder. Extra columns in a file are kept."""
-    return RawTables(
-        *[read_csv(spark, f"{folder}/{layout.file_name}") for layout in (PRODUCT, ORDER_HEADER, ORDER_DETAIL)]
-    )
+    return RawTables(*[read_csv(spark, f"{folder}/{layout.file_name}") for layout in LAYOUTS])

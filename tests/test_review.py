@@ -53,10 +53,8 @@ def test_rows_of_duplicate_keys_keep_equal_rows(rows):
 
 @pytest.mark.usefixtures("either_ansi")
 def test_bad_format_checks_the_shape_only(rows):
-    df = rows(
-        [("2021-06-07",), ("2021-06",), ("2021-06",), ("2021-13-45",), ("2021-06-07\n",), (" 2021-06-07",), (None,), ("",)],
-        "d string",
-    )
+    values = ["2021-06-07", "2021-06", "2021-06", "2021-13-45", "2021-06-07\n", " 2021-06-07", None, ""]
+    df = rows([(v,) for v in values], "d string")
     assert as_set(review.bad_format(df, "d", DATE_PATTERN)) == {("2021-06",), (" 2021-06-07",), ("",)}
 
 
@@ -92,7 +90,8 @@ def test_first_rows(items):
 
 def test_schema_report(rows):
     df = rows([], "SalesOrderID int, OrderDate string, Extra string")
-    report = {r.ColumnName: (r.Found, r.Expected, r.Agrees) for r in review.schema_report(df, ORDER_HEADER.store_schema).collect()}
+    found = review.schema_report(df, ORDER_HEADER.store_schema).collect()
+    report = {r.ColumnName: (r.Found, r.Expected, r.Agrees) for r in found}
     assert report["SalesOrderID"] == ("int", "int", True)
     assert report["OrderDate"] == ("string", "date", False)
     assert report["Freight"] == (None, "double", False)

@@ -80,6 +80,11 @@ def test_partitioned_layer_prunes_and_keeps_rows_without_a_value(spark, rows, tm
     assert "PartitionFilters: [isnotnull(y" in plan
 
 
+def test_partitioned_layer_is_rebalanced_first(rows):
+    plan = rows([(1, 2020)], "a int, y int").hint("rebalance", "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [y" in plan
+
+
 def test_scratch_uses_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == named

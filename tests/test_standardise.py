@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyloom.operators.standardise import apply_types, most_complete, trim_columns
+from tallyloom.plans.quality import table_quality
 from tallyloom.plans.store import store_detail, store_header, store_product
 from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT
 
@@ -21,7 +22,13 @@ def test_trim_keeps_tabs(rows):
 
 def test_most_complete_prefers_the_first_wanted_column(rows):
     df = rows(
-        [("1", None, "s", "n"), ("1", "c", None, "n"), ("2", "c", None, "n"), ("2", "c", "s", "n"), ("3", None, None, "n")],
+        [
+            ("1", None, "s", "n"),
+            ("1", "c", None, "n"),
+            ("2", "c", None, "n"),
+            ("2", "c", "s", "n"),
+            ("3", None, None, "n"),
+        ],
         SCHEMA,
     )
     result = most_complete(df, ["id"], WANTED)
@@ -90,6 +97,17 @@ def test_store_tables_have_their_types_and_keep_other_columns(spark):
         assert build(extra).columns == [*layout.columns, "Extra"]
 
 
+def test_wide_keys_need_a_wide_layout(spark):
+    wide = str(2**40)
+    raw = spark.createDataFrame([(wide, wide, "1", wide, "1", "0")], ORDER_DETAIL.raw_schema)
+    assert store_detail(raw).first().SalesOrderID is None
+    layout = ORDER_DETAIL.with_types(SalesOrderID="bigint", SalesOrderDetailID="bigint", ProductID="bigint")
+    assert store_detail(raw, layout).first()[:4] == (2**40, 2**40, 1, 2**40)
+    found = {(r.CheckName, r.ColumnName): r.FailedRows for r in table_quality(raw, ORDER_DETAIL).collect()}
+    assert found["lost_in_typing", "SalesOrderID"] == 1
+    assert table_quality(raw, layout).where("CheckName = 'lost_in_typing' AND FailedRows > 0").count() == 0
+
+
 def test_store_product_trims_before_it_compares_but_keeps_color_null(spark):
     row = {c: None for c in PRODUCT.columns} | {"ProductID": "1", "SizeUnitMeasureCode": " CM "}
     better = row | {"ProductCategoryName": "Bikes"}
