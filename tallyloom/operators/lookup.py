@@ -7,21 +7,24 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tallyloom.sources.scratch import settle
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 _BYTES_PER_ROW = 32
+_BYTES_PER_VALUE = 8
 
 
 def is_small(table: DataFrame) -> bool:
-    """Measure a narrow table from its rows: a fixed cost each, plus every value written as text.
+    """Measure a narrow table from its rows: a fixed cost for each row and value, plus the text it holds.
 
-    This is an aggregate over the table's few columns; only the one sum comes back.
+    This is an aggregate over the table's few columns; only the two numbers come back.
     """
-    text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
-    size = table.agg(F.sum((sum(text) + _BYTES_PER_ROW).cast("long"))).first()[0]
-    return (size or 0) <= BROADCAST_BYTES
+    text = [f.name for f in table.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    bytes_of_text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0)).cast("long")
+    rows, in_text = table.agg(F.count("*"), F.sum(bytes_of_text)).first()
+    return rows * (_BYTES_PER_ROW + _BYTES_PER_VALUE * len(table.columns)) + (in_text or 0) <= BROADCAST_BYTES
 
 
 def rows_with_keys(rows: DataFrame, keys: DataFrame, null_matches: bool = False) -> DataFrame:
@@ -69,7 +72,7 @@ def aggregate_by_attribute(
     aggregated by its key first, so that the join meets one row per group and
     key, however many rows a key has.
     """
-    lookup = settle(dimension.select(key, attribute))
+    lookup = settle(dimension.select(key, attribute).where(F.col(key).isNotNull()))
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), key, "left").groupBy(*groups, attribute).agg(*parts)
     return rows.groupBy(*groups, key).agg(*parts).join(lookup, key, "left").drop(key)

@@ -41,9 +41,10 @@ def test_rows_with_keys(rows):
 
 def test_size_check_counts_text(rows, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 1000)
-    assert lookup.is_small(rows([("x" * 900,)], "k string"))
+    assert lookup.is_small(rows([("x" * 900,), (None,)], "k string"))
     assert not lookup.is_small(rows([("x" * 900,), ("y" * 900,)], "k string"))
-    assert not lookup.is_small(rows([(n,) for n in range(40)], "k int"))
+    assert lookup.is_small(rows([(n,) for n in range(25)], "k int"))
+    assert not lookup.is_small(rows([(n,) for n in range(26)], "k int"))
     assert lookup.is_small(rows([], "k int"))
 
 
