@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -62,7 +62,7 @@ def rows_without_match(rows: DataFrame, key: str, parent: DataFrame, parent_key:
 
 
 def aggregate_by_attribute(
-    rows: DataFrame, groups: list[str], parts: list, dimension: DataFrame, key: str, attribute: str
+    rows: DataFrame, groups: list[str], parts: list[Column], dimension: DataFrame, key: str, attribute: str
 ) -> DataFrame:
     """Aggregate rows by ``groups`` and an attribute that a left join to the dimension adds.
 
