@@ -333,11 +333,11 @@ ORACLE: dict[str, str] = {
     "lineitem_ship_before_order": _all_of("dated_lines", "WHERE ShipDate < OrderDate"),
     "lineitem_lead_time": _sql(
         """SELECT l_returnflag, count(*) AS "Lines", CAST(sum(gap) AS BIGINT) AS TotalLeadTime, avg(gap) AS AvgLeadTime
-        FROM (SELECT l_returnflag,
-            CAST(b.weekdays - a.weekdays + CASE WHEN a.is_weekday THEN 1 ELSE 0 END - 1 AS INTEGER) AS gap
+        FROM (SELECT l_returnflag, CASE WHEN OrderDate IS NOT NULL AND ShipDate IS NOT NULL THEN
+            CAST(b.weekdays - a.weekdays + CASE WHEN a.is_weekday THEN 1 ELSE 0 END - 1 AS INTEGER) END AS gap
           FROM dated_lines
-          JOIN calendar a ON a.d = least(OrderDate, ShipDate)
-          JOIN calendar b ON b.d = greatest(OrderDate, ShipDate))
+          LEFT JOIN calendar a ON a.d = least(OrderDate, ShipDate)
+          LEFT JOIN calendar b ON b.d = greatest(OrderDate, ShipDate))
         GROUP BY l_returnflag""",
         "calendar",
     ),
