@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm import winnowing
 from tallyloom.llm.line_cleaning import op5_line_cleaning
+from tallyloom.llm.minhash import op2_minhash
 from tallyloom.llm.packing import op7_packing
+from tallyloom.llm.quality_gam import op8_quality_gam
 from tallyloom.llm.token_count import op4_token_count
+from tallyloom.llm.toxicity import op6_toxicity
 
 
-def _documents(operator):
+def _over(operator, *tables: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return operator(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+        return operator(*(spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in tables))
 
     return query
 
 
 QUERIES = {
-    "op4_token_count": _documents(op4_token_count),
-    "op5_line_cleaning": _documents(op5_line_cleaning),
-    "op7_packing": _documents(op7_packing),
+    "op2_minhash": _over(op2_minhash, "documents"),
+    "op4_token_count": _over(op4_token_count, "documents"),
+    "op5_line_cleaning": _over(op5_line_cleaning, "documents"),
+    "op6_toxicity": _over(op6_toxicity, "documents", "labels"),
+    "op7_packing": _over(op7_packing, "documents"),
+    "op8_quality_gam": _over(op8_quality_gam, "documents", "labels"),
+    "op9_winnowing": _over(winnowing.op9_winnowing, "documents", "benchmark"),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_winnowing": winnowing.ORACLE_SQL,
+}
