@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import winnowing
+from tallyloom.llm.language_id import op1_language_id
 from tallyloom.llm.line_cleaning import op5_line_cleaning
 from tallyloom.llm.minhash import op2_minhash
 from tallyloom.llm.packing import op7_packing
@@ -21,6 +22,7 @@ def _over(operator, *tables: str):
 
 
 QUERIES = {
+    "op1_language_id": _over(op1_language_id, "documents"),
     "op2_minhash": _over(op2_minhash, "documents"),
     "op4_token_count": _over(op4_token_count, "documents"),
     "op5_line_cleaning": _over(op5_line_cleaning, "documents"),
