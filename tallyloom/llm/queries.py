@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import winnowing
 from tallyloom.llm.language_id import op1_language_id
+from tallyloom.llm.license_scan import op3_license_scan
 from tallyloom.llm.line_cleaning import op5_line_cleaning
 from tallyloom.llm.minhash import op2_minhash
 from tallyloom.llm.packing import op7_packing
 from tallyloom.llm.quality_gam import op8_quality_gam
+from tallyloom.llm.repeats import op10_repeats
 from tallyloom.llm.token_count import op4_token_count
 from tallyloom.llm.toxicity import op6_toxicity
 
@@ -24,12 +26,14 @@ def _over(operator, *tables: str):
 QUERIES = {
     "op1_language_id": _over(op1_language_id, "documents"),
     "op2_minhash": _over(op2_minhash, "documents"),
+    "op3_license_scan": _over(op3_license_scan, "documents"),
     "op4_token_count": _over(op4_token_count, "documents"),
     "op5_line_cleaning": _over(op5_line_cleaning, "documents"),
     "op6_toxicity": _over(op6_toxicity, "documents", "labels"),
     "op7_packing": _over(op7_packing, "documents"),
     "op8_quality_gam": _over(op8_quality_gam, "documents", "labels"),
     "op9_winnowing": _over(winnowing.op9_winnowing, "documents", "benchmark"),
+    "op10_repeats": _over(op10_repeats, "documents"),
 }
 
 ORACLE: dict[str, str] = {
