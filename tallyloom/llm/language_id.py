@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.labelled import remainder
-from tallyloom.llm.shared import sampled, written
+from tallyloom.llm.shared import commonest, sampled, written
 from tallyloom.llm.words import mix
 
 ORDER = 4
@@ -140,18 +140,15 @@ def estimate(grams: DataFrame, entries: int) -> Model:
         level = level.withColumn("context", F.expr(f"left(gram, {n - 1})"))
         ones = F.sum((F.col("n") == 1).cast("long"))
         twos = F.sum((F.col("n") == 2).cast("long"))
-        discount = level.groupBy("lang").agg((ones / (ones + 2 * twos)).alias("d"), F.sum("n").alias("all_n"))
+        discount = level.groupBy("lang").agg(F.try_divide(ones, ones + 2 * twos).alias("d"), F.sum("n").alias("all_n"))
         totals = level.groupBy("lang", "context").agg(F.sum("n").alias("total"))
         share = F.greatest(F.col("n") - F.when(F.lit(n > 1), F.coalesce("d", F.lit(0.5))).otherwise(0.0), F.lit(0.0)) / F.col("total")
-        rows = (
+        shares = written(
             level.join(totals, ["lang", "context"])
             .join(F.broadcast(discount), "lang")
             .select("lang", "gram", "context", share.alias("p"), (F.col("n") / F.col("all_n")).alias("rank"))
-            .orderBy(F.desc("rank"), "lang", "gram")
-            .limit(entries)
-            .select("lang", "gram", "context", "p")
-            .toPandas()
         )
+        rows = commonest(shares, "rank", entries).select("lang", "gram", "context", "p").toPandas()
         at = rows["lang"].map(index).to_numpy(dtype=np.int64)
         model.direct.append(Table.of(rows["gram"].tolist(), at, rows["p"].to_numpy(dtype=np.float32), len(langs), 0.0))
         freed = (1 - rows.groupby(["lang", "context"], sort=False)["p"].sum()).clip(1e-4, 1).reset_index()

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.shared import written
-from tallyloom.llm.tokens import ChunkEncoder, load, vocabulary
+from tallyloom.llm.tokens import id_encoder, vocabulary
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, units int, rank long"
 
 
-def cut(docs: DataFrame, doc_id: str, text: str, size: int, unit: int, vocabulary_name: str, end_id: int, cached: int) -> DataFrame:
+def cut(docs: DataFrame, doc_id: str, text: str, size: int, unit: int, vocabulary_name: str, end_id: int) -> DataFrame:
     """The pieces of every document: full ones of size ids, then the rest.
 
     units is the length in units, rounded up. part is the number of the task and rank counts that task's pieces
@@ -33,18 +33,13 @@ def cut(docs: DataFrame, doc_id: str, text: str, size: int, unit: int, vocabular
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, special = load(vocabulary(vocabulary_name))
-
-        def ids(part: str) -> bytes:
-            return np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-        encoder = ChunkEncoder(ids, ids, special, cached)
+        ids = id_encoder(vocabulary(vocabulary_name))
         end, part = np.array([end_id], dtype="<u4").tobytes(), TaskContext.get().partitionId()
         next_rank = [0] * (size // unit + 1)
         for batch in batches:
             rows = []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                whole = b"".join(encoder.parts(value.as_py() or "")) + end
+                whole = ids(value.as_py() or "") + end
                 total = len(whole) // 4
                 for start in range(0, total, size):
                     length = min(size, total - start)
@@ -166,7 +161,6 @@ def pack(
     unit: int = 8,
     vocabulary_name: str = "byte_bpe_50k.json",
     end_id: int = 0,
-    cached: int = 300_000,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (all long).
 
@@ -177,7 +171,7 @@ def pack(
     if size % unit:
         raise ValueError("size must be a multiple of unit")
     spark = docs.sparkSession
-    pieces = written(cut(docs, doc_id, text, size, unit, vocabulary_name, end_id, cached))
+    pieces = written(cut(docs, doc_id, text, size, unit, vocabulary_name, end_id))
     by_task = pieces.groupBy("part", "units").agg(F.count("*").alias("n"))
     histogram = {row.units: row.n for row in by_task.groupBy("units").agg(F.sum("n").alias("n")).collect()}
     before = F.sum("n").over(Window.partitionBy("units").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

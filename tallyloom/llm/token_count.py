@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from tallyloom.llm.shared import sampled
+from tallyloom.llm.shared import commonest, sampled, written
 from tallyloom.llm.tokens import PRE_TOKEN, ChunkEncoder, Memo, load, vocabulary
 
 
@@ -34,15 +34,13 @@ def frequent_pre_tokens(docs: DataFrame, text: str, path: str, sample_rows: int,
         rows = seen.most_common(entries)
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["token", "n"])
 
-    rows = (
+    counts = written(
         sampled(docs.select(F.col(text).alias("text")).where(F.col("text").isNotNull()), sample_rows)
         .mapInArrow(counted, "token string, n long")
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token")
-        .limit(entries)
-        .collect()
     )
+    rows = commonest(counts, "n", entries).select("token").collect()
     tokenizer, _ = load(path)
     return {row.token: len(tokenizer.encode(row.token, add_special_tokens=False).ids) for row in rows}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 #: Fixed value: how byte-level BPE cuts a text before merging.
@@ -70,3 +71,38 @@ class ChunkEncoder:
         chunks = _BOUNDARY.split(text) if _ODD_BLANK.search(text) else text.split(" ")
         first = [self._first[chunks[0]]] if chunks[0] else []
         return first + list(map(self._later.__getitem__, chunks[1:]))
+
+
+def id_encoder(path: str) -> Callable[[str], bytes]:
+    """Ids of whole texts as little-endian 32-bit numbers, equal to what the tokenizers library gives.
+
+    Where merges stand in the order of their ids, tiktoken does the merging over the same vocabulary, three times
+    as fast; special strings are cut out first, as the library does. Other vocabularies go to the library.
+    """
+    tokenizer, special = load(path)
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    vocabulary_, merges = described["model"]["vocab"], described["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    made = [vocabulary_[a + b] for a, b in pairs]
+    if made != sorted(made):
+        return lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    import tiktoken
+
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+    added = {x["content"]: x["id"] for x in described.get("added_tokens", [])}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary_.items() if token not in added}
+    encode = tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def ids(text: str) -> bytes:
+        found, at = array("I"), 0
+        for cut in special.finditer(text) if special is not None else ():
+            found.extend(encode(text[at : cut.start()]))
+            found.append(added[cut[0]])
+            at = cut.end()
+        found.extend(encode(text[at:] if at else text))
+        return found.tobytes()
+
+    return ids

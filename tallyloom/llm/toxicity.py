@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.labelled import labelled_sample, remainder
+from tallyloom.llm.shared import commonest, written
 from tallyloom.llm.tokens import Memo
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -133,11 +134,12 @@ def learn_stems(sample: DataFrame, entries: int, least_documents: int = 4, least
 
     size = {(r.label, r.half): r["count"] for r in sample.groupBy("label", "half").count().collect()}
     of = lambda label, half: F.sum(F.when((F.col("label") == label) & (F.col("half") == half), F.col("n")).otherwise(0))
-    counts = (
+    counts = written(
         sample.select("text", "label", "half")
         .mapInArrow(counted, "stem string, label int, half int, n long")
         .groupBy("stem")
         .agg(*(of(label, half).alias(f"n{label}{half}") for label in (0, 1) for half in (0, 1)))
+        .where(F.col("n10") + F.col("n11") >= least_documents)
     )
     found = []
     for halves in ((0,), (1,), (0, 1)):
@@ -148,7 +150,7 @@ def learn_stems(sample: DataFrame, entries: int, least_documents: int = 4, least
         z = (p - q) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / fine))
         rows = counts.select("stem", F.log(p / q).alias("weight"), z.alias("z"), t.alias("t"))
         rows = rows.where((F.col("t") >= least_documents) & (F.col("weight") >= 1) & (F.col("z") >= least_z))
-        found.append({r.stem: r.weight for r in rows.orderBy(F.desc("z"), "stem").limit(entries).collect()})
+        found.append({r.stem: r.weight for r in commonest(rows, "z", entries).select("stem", "weight").collect()})
     return found
 
 
