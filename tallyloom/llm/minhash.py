@@ -1,8 +1,8 @@
 """Near duplicates by an inverted join on signature coordinates.
 
 Equal shingle sets are one class first, so copies cost one signature. Each class is posted under the
-(coordinate, value) pairs of a prefix of its signature: two classes that agree in at least `least_matches` of
-`coordinates` places agree in one of the first coordinates - least_matches + 1. A posting list first gives
+(coordinate, value) pairs of a prefix of its signature, rare pairs first: two classes that agree in at least
+`least_matches` of `coordinates` places agree in one of the first coordinates - least_matches + 1. A posting list first gives
 links to its leader only, never all its pairs. Merging compares signatures of posted pairs and skips the pairs
 that agree too seldom; those left are confirmed on full shingle sets. What the leaders join into components needs
 no further look, so a second round posts only members of a list that are not in its leader's component against
@@ -79,6 +79,36 @@ def signed(docs: DataFrame, doc_id: str, text: str, size: int, coordinates: int)
     return picked.mapInArrow(found, SIGNED)
 
 
+def posted(classes: DataFrame, prefix: int, bits: int, levels: tuple[int, ...] = (16, 128, 1024)) -> DataFrame:
+    """set_id, n and post (coordinate and value in one number) of the prefix of each class's signature.
+
+    All classes order their posts alike: rare ones first, then by coordinate. Posts held by more than 16, 128 or
+    1024 classes, such as those of a line that very many texts share, come last, so they are in a prefix only
+    where a text has hardly anything else. Bitmaps of fixed size tell the levels; a wrong bit changes the order
+    for all classes alike.
+    """
+    post = F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    held = classes.select(F.posexplode("signature").alias("k", "v")).groupBy(post.alias("post")).agg(F.count("*").alias("n"))
+    spread = F.col("post").bitwiseXOR(F.shiftright("post", 17))
+    common = written(held.where(F.col("n") > levels[0]).select("n", spread.alias("spread")))
+    maps = [bitmap(common.where(F.col("n") > x), "spread", bits) for x in levels]
+    shared = classes.sparkSession.sparkContext.broadcast(maps)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack(batch.column(2).to_numpy(zero_copy_only=False)).astype(np.int64) & 0xFFFFFFFF
+            posts = marks | (np.arange(marks.shape[1], dtype=np.int64) << 32)
+            level = sum(in_bitmap(x, (posts ^ (posts >> 17)).view(np.uint64).ravel()).astype(np.int64) for x in shared.value)
+            first = np.argsort(level.reshape(posts.shape), axis=1, kind="stable")[:, :prefix]
+            flat = np.take_along_axis(posts, first, axis=1).ravel()
+            repeated = np.repeat(np.arange(batch.num_rows), prefix)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(repeated)), batch.column(1).take(pa.array(repeated)), pa.array(flat)], names=["set_id", "n", "post"])
+
+    return classes.select("set_id", "n", "signature").mapInArrow(chosen, "set_id long, n long, post long")
+
+
 def sets_of(docs: DataFrame, text: str, size: int, wanted: np.ndarray) -> DataFrame:
     """Full shingle sets of the classes whose name is in the bitmap; a class may come more than once."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -149,11 +179,7 @@ def near_duplicates(
     """
     table = written(signed(docs, doc_id, text, size, coordinates).withColumn("row", F.monotonically_increasing_id()))
     classes = written(table.where("n_shingles > 0").groupBy("set_id").agg(F.min("n_shingles").alias("n"), F.first("signature").alias("signature")))
-    prefix = coordinates - least_matches + 1
-    places = F.posexplode(F.slice("signature", 1, prefix)).alias("k", "v")
-    posts = classes.select("set_id", "n", places).select(
-        "set_id", "n", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("post")
-    )
+    posts = posted(classes, coordinates - least_matches + 1, bits)
     leaders = posts.groupBy("post").agg(F.min("set_id").alias("leader"), F.count("*").alias("members")).where("members > 1")
     listed = written(posts.join(leaders.select("post", "leader"), "post"))
     sizes = classes.select(F.col("set_id").alias("leader"), F.col("n").alias("leader_n"))
