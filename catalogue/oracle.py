@@ -8,19 +8,16 @@ from __future__ import annotations
 
 from catalogue.planted import RAW_DETAIL, RAW_HEADER, RAW_PRODUCT
 from catalogue.queries import PREVIEW_ROWS, PRIORITY_PATTERN
-from tallyloom.schemas import (
-    ACCESSORIES,
-    CLOTHING,
-    COMPONENT_PART,
-    COMPONENTS,
-    DATE_PATTERN,
-    DECIMAL_PATTERN,
-    MISSING_COLOR,
-    ORDER_DETAIL,
-    ORDER_HEADER,
-    PRODUCT,
-    TableLayout,
-)
+from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT, TableLayout
+
+# Fixed values, written out here apart from those of the library.
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+DECIMAL_PATTERN = r"^(\d+(\.\d+)?|\.\d+)$"
+MISSING_COLOR = "N/A"
+CLOTHING = ("Gloves", "Shorts", "Socks", "Tights", "Vests")
+ACCESSORIES = ("Locks", "Lights", "Headsets", "Helmets", "Pedals", "Pumps")
+COMPONENTS = ("Wheels", "Saddles")
+COMPONENT_PART = "Frames"
 
 
 def _quoted(labels: tuple[str, ...]) -> str:
@@ -239,6 +236,12 @@ _UNTRIMMED_CODES = " OR ".join(f"{c} <> trim({c}, ' ')" for c in PRODUCT.trimmed
 ORACLE: dict[str, str] = {
     "read_csv_roundtrip": _all_of("raw_product"),
     "read_csv_header_roundtrip": _all_of("raw_header"),
+    "q1_from_csv": _sql('SELECT * EXCLUDE ("rank") FROM color_rank WHERE "rank" = 1', "color_rank"),
+    "q2_from_csv": _sql(
+        """SELECT * FROM category_lead_time WHERE ProductCategoryName IS NOT NULL
+        ORDER BY AvgLeadTimeInBusinessDays DESC""",
+        "category_lead_time",
+    ),
     "q1_from_layers": _sql('SELECT * EXCLUDE ("rank") FROM color_rank WHERE "rank" = 1', "color_rank"),
     "raw_row_counts": _row_counts(),
     "first_products": _sql(
@@ -292,6 +295,19 @@ ORACLE: dict[str, str] = {
     "range_discount": _all_of("store_detail", "WHERE UnitPriceDiscount < 0"),
     "range_freight": _all_of("store_header", "WHERE Freight < 0"),
     "row_reconciliation": _reconciliation(),
+    "store_reconciliation": _reconciliation(),
+    "publish_reconciliation": _sql(
+        """SELECT 'PublishedOrders' AS TableName, r AS RawRows, s AS StoreRows, s - r AS "Difference" FROM (
+        SELECT (SELECT count(*) FROM store_detail) AS r, (SELECT count(*) FROM publish_orders) AS s)""",
+        "store_detail",
+        "publish_orders",
+    ),
+    "wide_key_orders": _sql(
+        """SELECT SalesOrderID + 1099511627776 AS SalesOrderID, SalesOrderDetailID + 1099511627776 AS SalesOrderDetailID,
+          ProductID + 1099511627776 AS ProductID, OrderDate FROM publish_orders""",
+        "publish_orders",
+    ),
+    "fine_amount_totals": "SELECT l_returnflag, round(sum(l_linenumber) / 4194304.0::DOUBLE, 12) AS Total FROM lineitem GROUP BY 1",
     "publish_product": _all_of("publish_product"),
     "publish_orders": _all_of("publish_orders"),
     "color_still_null": _all_of("publish_product", "WHERE Color IS NULL"),

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, table
 from tallyloom.functions.dates import business_days
+from tallyloom.functions.totals import merge_sum, partial_sum
 from tallyloom.operators import review, standardise, validate
 from tallyloom.plans import pipeline, publish, quality, reports, store
 from tallyloom.schemas import DATE_PATTERN, LAYOUTS, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
-from tallyloom.sources.csv import read_csv, write_csv
+from tallyloom.sources.csv import read_csv, read_raw_tables, write_csv
 from tallyloom.sources.scratch import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,49 @@ def _top_color_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_color_per_year(published.orders, published.product)
 
 
+def _from_csv(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A report over the whole way: raw tables as CSV files, read as text, stored, published."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = fresh_folder(spark, "csv")
+        for df, layout in zip(raw_tables(spark, sf_dir), LAYOUTS):
+            write_csv(df, f"{folder}/{layout.file_name}")
+        stored = pipeline.write_store(read_raw_tables(spark, folder), folder)
+        published = pipeline.write_publish(stored, folder)
+        return build(published.orders, published.product)
+
+    return query
+
+
+def _store_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the raw tables against those of the store as read back from its files."""
+    raw = raw_tables(spark, sf_dir)
+    stored = pipeline.write_store(raw, fresh_folder(spark, "layers"))
+    return validate.reconcile(dict(zip(NAMES, zip(raw, stored))))
+
+
+def _publish_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored order lines against published ones as read back: the difference was dropped by the join."""
+    folder = fresh_folder(spark, "layers")
+    stored = pipeline.write_store(raw_tables(spark, sf_dir), folder)
+    published = pipeline.write_publish(stored, folder)
+    return validate.reconcile({"PublishedOrders": (stored.detail, published.orders)})
+
+
+def _wide_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published orders where every order, line and product number is beyond 32 bits."""
+    wide = lambda df, *keys: df.withColumns({k: (F.col(k).try_cast("bigint") + 2**40).cast("string") for k in keys})
+    detail = store.store_detail(wide(raw_detail(spark, sf_dir), "SalesOrderID", "SalesOrderDetailID", "ProductID"))
+    header = store.store_header(wide(raw_header(spark, sf_dir), "SalesOrderID"))
+    return publish.publish_orders(detail, header).select("SalesOrderID", "SalesOrderDetailID", "ProductID", "OrderDate")
+
+
+def _fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of amounts with nine decimals, by the sum of the reports: nothing below a millionth is lost."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.col("l_linenumber") / F.lit(2.0**22)).alias("x"))
+    return lines.groupBy("l_returnflag").agg(*partial_sum("x")).groupBy("l_returnflag").agg(F.round(merge_sum(), 12).alias("Total"))
+
+
 def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("OrderDate"))
     lines = table(spark, sf_dir, "lineitem").select(
@@ -125,6 +169,8 @@ QUERIES: dict[str, Query] = {
     "read_csv_roundtrip": _read_csv_roundtrip,
     "read_csv_header_roundtrip": _read_csv_header_roundtrip,
     "q1_from_layers": _top_color_from_layers,
+    "q1_from_csv": _from_csv(reports.top_color_per_year),
+    "q2_from_csv": _from_csv(reports.lead_time_by_known_category),
     # Review of the raw tables
     "raw_row_counts": _raw_row_counts,
     "first_products": _over(raw_product, lambda df: review.first_rows(df, PREVIEW_ROWS, df.columns)),
@@ -161,6 +207,10 @@ QUERIES: dict[str, Query] = {
     "range_discount": _over(stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["UnitPriceDiscount"])),
     "range_freight": _over(stored_header, lambda df: validate.below_minimum(df, MINIMUMS["Freight"])),
     "row_reconciliation": _reconciliation,
+    "store_reconciliation": _store_reconciliation,
+    "publish_reconciliation": _publish_reconciliation,
+    "wide_key_orders": _wide_key_orders,
+    "fine_amount_totals": _fine_amounts,
     # Publish layer and its checks
     "publish_product": published_product,
     "publish_orders": published_orders,

@@ -16,15 +16,18 @@ _BYTES_PER_ROW = 32
 _BYTES_PER_VALUE = 8
 
 
-def is_small(table: DataFrame) -> bool:
+def is_small(table: DataFrame, limit: int | None = None) -> bool:
     """Measure a narrow table from its rows: a fixed cost for each row and value, plus the text it holds.
 
-    This is an aggregate over the table's few columns; only the two numbers come back.
+    This is an aggregate over the table's few columns; only the two numbers come back. No table is small in a
+    session that forbids broadcasts (``spark.sql.autoBroadcastJoinThreshold`` of -1), and none is measured there.
     """
+    if table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-1"):
+        return False
     text = [f.name for f in table.schema if isinstance(f.dataType, (StringType, BinaryType))]
     bytes_of_text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0)).cast("long")
     rows, in_text = table.agg(F.count("*"), F.sum(bytes_of_text)).first()
-    return rows * (_BYTES_PER_ROW + _BYTES_PER_VALUE * len(table.columns)) + (in_text or 0) <= BROADCAST_BYTES
+    return rows * (_BYTES_PER_ROW + _BYTES_PER_VALUE * len(table.columns)) + (in_text or 0) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def rows_with_keys(rows: DataFrame, keys: DataFrame, null_matches: bool = False) -> DataFrame:
@@ -45,20 +48,21 @@ def rows_with_keys(rows: DataFrame, keys: DataFrame, null_matches: bool = False)
     return rows.join(wanted, reduce(and_, same), "left_semi")
 
 
-def rows_without_match(rows: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def rows_without_match(
+    rows: DataFrame, key: str, parent: DataFrame, parent_key: str, limit: int | None = None
+) -> DataFrame:
     """Rows whose key is not in the parent; a NULL key has no match.
 
-    A small parent goes to every task, and the rows are read once and not
-    shuffled. For a large one the search runs on the distinct keys of both
-    sides, so a key that holds much of either table is one row before the
-    shuffle; the wide rows are then fetched for the missing keys.
+    The parent's distinct keys are settled, measured and joined. Few keys, of
+    at most ``limit`` bytes (default ``BROADCAST_BYTES``), go to every task, and the rows are read once and
+    not shuffled. More are joined by shuffle, which adaptive execution splits
+    where one key holds much of the rows.
     """
-    parent_keys = parent.select(F.col(parent_key).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    matched = F.col(key) == F.col("_parent_key")
-    if is_small(parent_keys):
-        return rows.join(F.broadcast(parent_keys), matched, "left_anti")
-    missing = rows.select(key).distinct().join(parent_keys.distinct(), matched, "left_anti")
-    return rows_with_keys(rows, missing, null_matches=True)
+    keys = parent.select(F.col(parent_key).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
+    keys = settle(keys)
+    if is_small(keys, limit):
+        keys = F.broadcast(keys)
+    return rows.join(keys, F.col(key) == F.col("_parent_key"), "left_anti")
 
 
 def aggregate_by_attribute(
@@ -72,7 +76,7 @@ def aggregate_by_attribute(
     aggregated by its key first, so that the join meets one row per group and
     key, however many rows a key has.
     """
-    lookup = settle(dimension.select(key, attribute).where(F.col(key).isNotNull()))
+    lookup = dimension.select(key, attribute).where(F.col(key).isNotNull())
     if is_small(lookup):
         return rows.join(F.broadcast(lookup), key, "left").groupBy(*groups, attribute).agg(*parts)
     return rows.groupBy(*groups, key).agg(*parts).join(lookup, key, "left").drop(key)

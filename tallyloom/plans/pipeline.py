@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from tallyloom.plans.publish import PublishTables, publish_orders, publish_product
 from tallyloom.plans.store import StoreTables, store_tables
@@ -11,8 +10,6 @@ from tallyloom.schemas import LAYOUTS, Layouts
 from tallyloom.sources.csv import RawTables
 from tallyloom.sources.layers import read_layer, write_layer
 
-_YEAR = "OrderYear"
-
 
 def write_store(raw: RawTables, folder: str, layouts: Layouts = LAYOUTS) -> StoreTables:
     """Write the three store tables, and return them as read back."""
@@ -27,13 +24,11 @@ def read_store(spark: SparkSession, folder: str) -> StoreTables:
 
 
 def write_publish(store: StoreTables, folder: str) -> PublishTables:
-    """Write the two published tables, orders by year, and return them as read back."""
-    orders = publish_orders(store.detail, store.header)
+    """Write the two published tables, and return them as read back."""
     write_layer(publish_product(store.product), f"{folder}/publish_product")
-    write_layer(orders.withColumn(_YEAR, F.year("OrderDate")), f"{folder}/publish_orders", partition_by=_YEAR)
+    write_layer(publish_orders(store.detail, store.header), f"{folder}/publish_orders")
     return read_publish(store.product.sparkSession, folder)
 
 
 def read_publish(spark: SparkSession, folder: str) -> PublishTables:
-    orders = read_layer(spark, f"{folder}/publish_orders").drop(_YEAR)
-    return PublishTables(read_layer(spark, f"{folder}/publish_product"), orders)
+    return PublishTables(*[read_layer(spark, f"{folder}/publish_{name}") for name in ("product", "orders")])

@@ -77,7 +77,7 @@ PRODUCT = TableLayout(
     name="Product",
     file_name="products.csv",
     columns={
-        "ProductID": "int",
+        "ProductID": "bigint",
         "MakeFlag": "boolean",
         "Color": "string",
         "SafetyStockLevel": "int",
@@ -98,13 +98,13 @@ ORDER_HEADER = TableLayout(
     name="SalesOrderHeader",
     file_name="sales_order_header.csv",
     columns={
-        "SalesOrderID": "int",
+        "SalesOrderID": "bigint",
         "OrderDate": "date",
         "ShipDate": "date",
         "OnlineOrderFlag": "boolean",
         "AccountNumber": "string",
-        "CustomerID": "int",
-        "SalesPersonID": "int",
+        "CustomerID": "bigint",
+        "SalesPersonID": "bigint",
         "Freight": "double",
     },
     key="SalesOrderID",
@@ -115,10 +115,10 @@ ORDER_DETAIL = TableLayout(
     name="SalesOrderDetail",
     file_name="sales_order_detail.csv",
     columns={
-        "SalesOrderID": "int",
-        "SalesOrderDetailID": "int",
+        "SalesOrderID": "bigint",
+        "SalesOrderDetailID": "bigint",
         "OrderQty": "int",
-        "ProductID": "int",
+        "ProductID": "bigint",
         "UnitPrice": "double",
         "UnitPriceDiscount": "double",
     },

@@ -39,11 +39,19 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a CSV that ``read_csv`` reads back unchanged, outer spaces included."""
+    """Write a CSV that ``read_csv`` reads back, outer spaces included.
+
+    Two values do not come back as they were: an empty text comes back as NULL,
+    and a text with a line break needs ``multi_line`` when it is read.
+    """
     options = {**_DIALECT, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.options(**options).mode("errorifexists").csv(path)
 
 
 def read_raw_tables(spark: SparkSession, folder: str) -> RawTables:
-    """The three source files of a folder. Extra columns in a file are kept."""
-    return RawTables(*[read_csv(spark, f"{folder}/{layout.file_name}") for layout in LAYOUTS])
+    """The three source files of a folder. Extra columns in a file are kept.
+
+    A source may be many files; their headers must name the same columns in the same order, or reading fails.
+    """
+    paths = [f"{folder}/{layout.file_name}" for layout in LAYOUTS]
+    return RawTables(*[read_csv(spark, path, schema=read_csv(spark, path).schema) for path in paths])

@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write a table as Parquet.
-
-    With ``partition_by`` the rows are first rebalanced on that column: Spark
-    then gathers each value into files of its advisory size, merging small
-    pieces and splitting a value that holds much of the table over many tasks.
-    """
-    if partition_by is None:
-        df.write.mode("errorifexists").parquet(path)
-    else:
-        df.hint("rebalance", partition_by).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+def write_layer(df: DataFrame, path: str) -> None:
+    """Write a table as Parquet, from the tasks that computed it."""
+    df.write.mode("errorifexists").parquet(path)
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:

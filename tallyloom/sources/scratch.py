@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,8 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, else the checkpoint folder already in use.
-
-    A local session with neither gets a temporary folder; a cluster session must name one.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
-    return context.getCheckpointDir()
+    """The session's ``spark.checkpoint.dir``, else its warehouse folder."""
+    return spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
@@ -31,8 +20,14 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a table once and keep it in the shared folder, so lost executors cost no recomputation."""
+    """Compute a table once and keep it in the folder that ``spark.checkpoint.dir`` names.
+
+    A session that names none gets the table as it is, computed again wherever it is used.
+    """
     spark = df.sparkSession
+    folder = spark.conf.get(_SETTING, None)
+    if not folder:
+        return df
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

@@ -122,18 +122,30 @@ def test_sum_of_cents_is_exact(rows, data):
         ([None, 2.5], 2.5),
         ([-0.1, -0.2], -0.3),
         ([0.1] * 10, 1.0),
+        ([1 / 3] * 30_000, 10_000.0),
+        ([4e-7] * 1_000, 4e-4),
+        ([4e-7] * 1_000 + [2e9], 2e9 + 4e-4),
+        ([1e-12] * 3, 3e-12),
     ],
 )
 def test_sums_at_the_edges(rows, values, expected):
     df = rows([(i, x) for i, x in enumerate(values)], "k int, x double")
     [(total,)] = df.groupBy("k").agg(*partial_sum("x")).agg(merge_sum()).collect()
-    assert total == expected
+    assert total == (expected if expected is None else pytest.approx(expected, rel=1e-13))
+
+
+def test_small_amounts_can_win(rows):
+    data = [(1, "Red", 4.9e-7)] * 1_000 + [(1, "Blue", 1e-6)]
+    df = rows(data, "k int, color string, x double")
+    totals = dict(df.groupBy("color").agg(*partial_sum("x")).groupBy("color").agg(merge_sum()).collect())
+    assert totals["Red"] == pytest.approx(4.9e-4) and totals["Blue"] == 1e-6
 
 
 def test_sum_too_long_for_a_long_falls_back(spark):
     parts = spark.createDataFrame(
-        [(2**62, 0, 4.6e18, 0), (2**62, 0, 4.6e18, 0)], "_units long, _rest long, _rough double, _inexact long"
+        [(2**62, 0, None, 4.6e18, 1), (2**62, 0, None, 4.6e18, 1)],
+        "_units long, _rest long, _beyond double, _rough double, _exact long",
     )
     assert parts.agg(merge_sum()).first()[0] == 9.2e18
-    lost = spark.createDataFrame([(None, 0, 1e19, 0), (1, 0, 1.0, 0)], parts.schema)
+    lost = spark.createDataFrame([(None, 0, None, 1e19, 1), (1, 0, None, 1.0, 1)], parts.schema)
     assert lost.agg(merge_sum()).first()[0] == 1e19

@@ -89,10 +89,10 @@ def test_first_rows(items):
 
 
 def test_schema_report(rows):
-    df = rows([], "SalesOrderID int, OrderDate string, Extra string")
+    df = rows([], "SalesOrderID bigint, OrderDate string, Extra string")
     found = review.schema_report(df, ORDER_HEADER.store_schema).collect()
     report = {r.ColumnName: (r.Found, r.Expected, r.Agrees) for r in found}
-    assert report["SalesOrderID"] == ("int", "int", True)
+    assert report["SalesOrderID"] == ("bigint", "bigint", True)
     assert report["OrderDate"] == ("string", "date", False)
     assert report["Freight"] == (None, "double", False)
     assert report["Extra"] == ("string", None, False)

@@ -9,6 +9,7 @@ from catalogue.queries import QUERIES
 from tallyloom.operators import lookup, review, standardise, validate
 from tallyloom.plans import publish, reports
 from tallyloom.plans.store import store_detail, store_header
+from tallyloom.sources.scratch import settle
 
 SF_DIR = "/root/testdata/sf0.001"
 LINES = 30_000
@@ -118,7 +119,7 @@ def test_large_dimension_is_met_after_rows_are_added_up(hot_lines, headers, monk
     """With a dimension too large to broadcast, the join sees products and not lines."""
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
     orders = publish.publish_orders(store_detail(hot_lines), store_header(headers))
-    product = orders.select("ProductID").distinct().where("ProductID IS NOT NULL").withColumn("Color", F.lit("Red"))
+    product = settle(orders.select("ProductID").distinct().where("ProductID IS NOT NULL").withColumn("Color", F.lit("Red")))
     revenue = reports.revenue_by_year_color(orders, product)
     tree = revenue._jdf.queryExecution().optimizedPlan().toString()
     join = tree.index("Join LeftOuter")
@@ -130,7 +131,7 @@ def test_large_dimension_is_met_after_rows_are_added_up(hot_lines, headers, monk
 
 def test_small_dimension_is_joined_while_the_lines_are_read(hot_lines, headers):
     orders = publish.publish_orders(store_detail(hot_lines), store_header(headers))
-    product = orders.select("ProductID").distinct().withColumn("Color", F.lit("Red"))
+    product = settle(orders.select("ProductID").distinct().withColumn("Color", F.lit("Red")))
     plan = plan_of(reports.revenue_by_year_color(orders, product))
     assert not re.search(r"hashpartitioning\(ProductID", plan)
 

@@ -71,18 +71,15 @@ def test_layer_is_not_overwritten(rows, tmp_path):
         write_layer(df, str(tmp_path / "layer"))
 
 
-def test_partitioned_layer_prunes_and_keeps_rows_without_a_value(spark, rows, tmp_path):
-    df = rows([(1, 2020), (2, 2021), (3, None)], "a int, y int")
-    write_layer(df, str(tmp_path / "layer"), partition_by="y")
-    back = read_layer(spark, str(tmp_path / "layer"))
-    assert as_set(back) == as_set(df)
-    plan = back.where("y = 2020")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(y" in plan
-
-
-def test_partitioned_layer_is_rebalanced_first(rows):
-    plan = rows([(1, 2020)], "a int, y int").hint("rebalance", "y")._jdf.queryExecution().optimizedPlan().toString()
-    assert "RebalancePartitions [y" in plan
+def test_files_with_other_column_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "products.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("ProductID,Color\n1,Red\n")
+    (folder / "b.csv").write_text("Color,ProductID\nBlue,2\n")
+    for name in ("sales_order_header.csv", "sales_order_detail.csv"):
+        (tmp_path / name).write_text("SalesOrderID\n1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_tables(spark, str(tmp_path)).product.collect()
 
 
 def test_scratch_uses_the_folder_the_session_names(spark):
