@@ -121,19 +121,20 @@ def survey(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(found, f"doc_id long, name long, n_bytes long, sha256 string, runs {RUN}")
 
 
-def edge_windows(docs: DataFrame, length: int, gram: int, mixed: np.ndarray, wanted: np.ndarray | None) -> DataFrame:
-    """Windows of runs whose minimiser may be mixed: hash and run content, each content once a task; or, with the
-    bitmap wanted, hash, document name and place of those whose hash may be wanted."""
-    shared = docs.sparkSession.sparkContext.broadcast((mixed, wanted))
+def edge_windows(docs: DataFrame, length: int, gram: int, chosen: np.ndarray, wanted: np.ndarray | None) -> DataFrame:
+    """Hash and run content of all windows of runs whose minimiser may be chosen, each content once a task; or,
+    with the bitmap wanted, hash, document name and place of windows that may be wanted, in runs whose content may
+    be chosen."""
+    shared = docs.sparkSession.sparkContext.broadcast((chosen, wanted))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixed, wanted = shared.value
+        chosen, wanted = shared.value
         seen: set[int] = set()
         for batch in batches:
             keys, parts, held = batch.column(0).to_pylist(), [], 0
             for i, data, grams, windows in _rows(batch, length, gram):
                 minimiser, content, first, count = runs(grams, windows, length, gram)
-                pick = np.flatnonzero(in_bitmap(mixed, minimiser)) if len(minimiser) else np.zeros(0, dtype=np.int64)
+                pick = np.flatnonzero(in_bitmap(chosen, minimiser if wanted is None else content)) if len(content) else first
                 if wanted is None and len(pick):
                     fresh = [j for j in pick if (c := int(content[j])) not in seen and (seen.add(c) or True)]
                     pick = np.array(fresh, dtype=np.int64)
@@ -166,14 +167,16 @@ def repeated_intervals(docs: DataFrame, table: DataFrame, length: int, gram: int
     """name, start and windows of all stretches of windows that occur twice or more."""
     each = table.select("name", F.explode("runs").alias("r")).select("name", "r.*")
     contents = written(each.groupBy("minimiser", "content").agg(F.count("*").alias("n")))
-    mixed = bitmap(contents.groupBy("minimiser").agg(F.count("*").alias("k")).where("k > 1"), "minimiser", bits)
+    several = written(contents.groupBy("minimiser").agg(F.count("*").alias("k")).where("k > 1").select("minimiser"))
+    mixed = bitmap(several, "minimiser", bits)
     twice = contents.where("n > 1").select("minimiser", "content")
     settled = each.join(twice, ["minimiser", "content"]).select("name", "start", "windows")
     if not mixed.any():
         return settled
     edges = edge_windows(docs, length, gram, mixed, None).groupBy("hash").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
     met = written(edges.where("lo <> hi").select("hash"))
-    single = edge_windows(docs, length, gram, mixed, bitmap(met, "hash", bits)).join(met, "hash")
+    alone = bitmap(contents.where("n = 1").join(several, "minimiser", "left_semi"), "content", bits)
+    single = edge_windows(docs, length, gram, alone, bitmap(met, "hash", bits)).join(met, "hash")
     return settled.unionByName(single.select("name", F.col("start").cast("int").alias("start"), F.lit(1).alias("windows")))
 
 
@@ -194,14 +197,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for s in batch.column(1).to_pylist():
-                marks = np.array([(x["start"], x["start"] + x["windows"] + length - 1) for x in s], dtype=np.int64)
-                marks = marks[np.argsort(marks[:, 0], kind="stable")]
-                reach = np.maximum.accumulate(marks[:, 1])
-                new = np.concatenate([[True], marks[1:, 0] > reach[:-1]])
-                last = np.append(np.flatnonzero(new)[1:] - 1, len(marks) - 1)
-                out.append([{"start": int(a), "end": int(b)} for a, b in zip(marks[new, 0], reach[last])])
+            out, lists = [], batch.column(1)
+            offsets, flat = lists.offsets.to_numpy(), lists.values
+            all_starts = flat.field("start").to_numpy().astype(np.int64)
+            all_ends = all_starts + flat.field("windows").to_numpy() + length - 1
+            for a, b in zip(offsets[:-1], offsets[1:]):
+                order = np.argsort(all_starts[a:b], kind="stable")
+                begin, reach = all_starts[a:b][order], np.maximum.accumulate(all_ends[a:b][order])
+                new = np.concatenate([[True], begin[1:] > reach[:-1]])
+                last = np.append(np.flatnonzero(new)[1:] - 1, len(begin) - 1)
+                out.append([{"start": int(x), "end": int(y)} for x, y in zip(begin[new], reach[last])])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["name", "removed"])
 
     removed = written(
