@@ -125,3 +125,35 @@ def op5_line_cleaning(docs: DataFrame) -> DataFrame:
     """The contract's columns for documents."""
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_share")
     return clean_lines(docs).select("doc_id", *columns)
+
+
+ORACLE_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i : i + 7] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM repeated) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, t, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars, len(l) AS n_lines,
+    list_filter(l, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS filled,
+    list_filter(l, lambda x: NOT regexp_matches(x, '[^\x20\x09-\x0D]') OR NOT (
+      len(regexp_extract_all(x, '[#*$%&|<>!]')) * 12 >= length(x)
+      OR (len(regexp_extract_all(x, '[|>»·]')) >= 3 AND len(regexp_extract_all(x, '[|>»·]')) * 24 >= length(x))
+      OR (length(x) <= 200 AND regexp_matches(x, '{BOILERPLATE}'))
+      OR regexp_matches(x, '(?:\p{{Lu}}{{2,}}\P{{L}}+){{8}}'))) AS good
+  FROM w),
+counted AS (
+  SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+    n_words < 20 OR 100 * coalesce(covered.n, 0) > 30 * n_words AS base_failed,
+    CASE WHEN len(good) < n_lines THEN 1 - CAST(
+        length(regexp_replace(array_to_string(good, chr(10)), '[\x20\x09-\x0D]+', '', 'g')) AS DOUBLE) / greatest(word_chars, 1)
+      ELSE 0.0 END AS lost_share
+  FROM lines LEFT JOIN covered USING (doc_id))
+SELECT *, NOT base_failed AND lost_share <= 0.5 AS kept FROM counted
+"""

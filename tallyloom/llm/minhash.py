@@ -227,3 +227,26 @@ def near_duplicates(
 def op2_minhash(docs: DataFrame) -> DataFrame:
     """The contract's columns for documents."""
     return near_duplicates(docs.select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, w[i : i + 4] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM w
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+SELECT doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import winnowing
+from tallyloom.llm import line_cleaning, minhash, winnowing
 from tallyloom.llm.language_id import op1_language_id
 from tallyloom.llm.license_scan import op3_license_scan
 from tallyloom.llm.line_cleaning import op5_line_cleaning
@@ -37,5 +37,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_minhash": minhash.ORACLE_SQL,
+    "op5_line_cleaning": line_cleaning.ORACLE_SQL,
     "op9_winnowing": winnowing.ORACLE_SQL,
 }

@@ -319,3 +319,14 @@ def test_pipeline_on_hard_rows(spark, hard, items, tmp_path):
 def test_every_operator_is_registered():
     assert {int(re.match(r"op(\d+)_", x)[1]) for x in QUERIES} == set(range(1, 11))
     assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_against_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    expected = connection.sql(ORACLE[name]).df().set_index("doc_id").sort_index()
+    got = QUERIES[name](spark, SMALL).toPandas().set_index("doc_id").sort_index()
+    assert sorted(got.columns) == sorted(expected.columns)
+    assert got[expected.columns].equals(expected)
