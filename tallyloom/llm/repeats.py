@@ -183,7 +183,7 @@ def repeated_intervals(docs: DataFrame, table: DataFrame, length: int, gram: int
 REMOVED = "array<struct<start:int,end:int>>"
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 200, bits: int = 24) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 200, bits: int = 26) -> DataFrame:
     """One row per document: doc_id, name, n_bytes, n_removed, n_spans (long), kept_sha256, kept (binary, null where
     nothing is removed, as the text stays as it is).
 

@@ -37,11 +37,10 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
         df.select(place.alias("place"))
         .groupBy(F.shiftright("place", 6).alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("set"))
-        .collect()
+        .toArrow()
     )
     words = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    for word, value in rows:
-        words[word] = np.uint64(value & 0xFFFFFFFFFFFFFFFF)
+    words[rows["word"].to_numpy()] = rows["set"].to_numpy().view(np.uint64)
     return words
 
 
