@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.labelled import remainder
-from tallyloom.llm.shared import commonest, sampled, written
+from tallyloom.llm.shared import commonest, written
 from tallyloom.llm.words import mix
 
 ORDER = 4
@@ -205,12 +205,33 @@ def judged(model: Model, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return np.where(none, -1, best), np.where(none, 0.0, score), np.where(none, 0.0, least)
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", entries: int = 150_000, sample_rows: int = 4_000) -> Model:
-    """A model from all rows that pass learn, with its rejection calibrated on at most about sample_rows of them.
+def calibrate(model: Model, rows: DataFrame, few: int = 200) -> Model:
+    """model with usual and ceiling from rows of lang (its number), symbols and entropy.
 
-    usual is the mean cross-entropy of a language; ceiling is one and a half times the largest excess over it seen
-    in the sample, scaled by the root of the length. So texts like those of the training are not rejected.
+    usual is the median cross-entropy of a language; ceiling is one and a half times the 99.5th percentile of the
+    excess over it, scaled by the root of the length. A language with fewer than few rows takes the percentile of
+    all languages together, and their median where its own is lower, as so few texts are close to learnt by heart.
     """
+    n = len(model.langs)
+    middle = F.percentile_approx("entropy", 0.5, 10_000)
+    own = {r.lang: (r.middle, r.n) for r in rows.groupBy("lang").agg(middle.alias("middle"), F.count("*").alias("n")).collect()}
+    pooled = rows.agg(middle).first()[0] or 0.0
+    usual = [own[i][0] if i in own else pooled for i in range(n)]
+    model.usual = np.array([u if own.get(i, (0, 0))[1] >= few else max(u, pooled) for i, u in enumerate(usual)])
+    if not own:
+        model.ceiling = np.full(n, np.inf)
+        return model
+    at = F.element_at(F.array(*map(F.lit, map(float, usual))), F.col("lang").cast("int") + 1)
+    tail = F.percentile_approx("excess", 0.995, 10_000)
+    excess = rows.select("lang", ((F.col("entropy") - at) * F.sqrt("symbols")).alias("excess"))
+    tails = {r.lang: r.tail for r in excess.groupBy("lang").agg(tail.alias("tail")).collect()}
+    together = excess.agg(tail).first()[0]
+    model.ceiling = np.array([max(1.0, 1.5 * (tails[i] if own.get(i, (0, 0))[1] >= few else together)) for i in range(n)])
+    return model
+
+
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", entries: int = 150_000) -> Model:
+    """A model from all rows that pass learn, with its rejection calibrated on all of them."""
     known = docs.where(learn & F.col(lang).isNotNull())
     model = estimate(written(count_grams(known, text, lang)), entries)
     shared, index = docs.sparkSession.sparkContext.broadcast(model), {x: i for i, x in enumerate(model.langs)}
@@ -224,15 +245,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
             entropy = -sums[np.arange(len(own)), own] / np.maximum(symbols, 1)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(symbols, pa.float64()), pa.array(entropy, pa.float64())], names=["lang", "symbols", "entropy"])
 
-    picked = sampled(known.select(F.col(lang).alias("lang"), F.col(text).alias("text")), sample_rows)
-    rows = picked.mapInArrow(measured, "lang long, symbols double, entropy double").where("symbols > 0").toPandas()
-    model.usual, model.ceiling = np.zeros(len(index)), np.full(len(index), np.inf)
-    for i in range(len(index)):
-        own = rows[rows["lang"] == i]
-        if len(own):
-            model.usual[i] = np.average(own["entropy"], weights=own["symbols"])
-            model.ceiling[i] = max(1.0, 1.5 * ((own["entropy"] - model.usual[i]) * np.sqrt(own["symbols"])).max())
-    return model
+    picked = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    return calibrate(model, written(picked.mapInArrow(measured, "lang long, symbols double, entropy double").where("symbols > 0")))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

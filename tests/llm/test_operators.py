@@ -229,6 +229,26 @@ def test_language_models_on_held_out_documents(spark):
     assert got.rejected.mean() < 0.01
 
 
+def test_rejection_is_calibrated_on_all_learning_rows(spark):
+    """More rows than any sample, and a language with too few for a percentile of its own."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) < 2500 and (lang <> 'es' or doc_id % 100 = 0)").select("doc_id", "text", "lang")
+    model = language_id.train(table, F.lit(True))
+    rows = table.toPandas()
+    scores = language_id.TextScorer(model)(rows.text.tolist())
+    own, symbols = rows.lang.map({x: i for i, x in enumerate(model.langs)}).to_numpy(), scores[:, -1]
+    entropy = -scores[:, :-1] / np.maximum(symbols, 1)[:, None]
+    used = symbols > 0
+    own, entropy, symbols = own[used], entropy[np.arange(len(rows)), own][used], symbols[used]
+    assert len(own) > 4500
+    middle = [np.quantile(entropy[own == i], 0.5, method="inverted_cdf") for i in range(4)]
+    excess = (entropy - np.array(middle)[own]) * np.sqrt(symbols)
+    for i, lang in enumerate(model.langs):
+        few = (own == i).sum() < 200
+        assert few == (lang == "es")
+        assert model.usual[i] == pytest.approx(max(middle[i], np.quantile(entropy, 0.5)) if few else middle[i], rel=1e-3)
+        assert model.ceiling[i] == pytest.approx(max(1.0, 1.5 * np.quantile(excess if few else excess[own == i], 0.995, method="inverted_cdf")), rel=0.02)
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     words = ["aba", "abba", "cab", "abc", "bca"] * 20
     table = spark.createDataFrame([(i, w, "xx") for i, w in enumerate(words)], "doc_id long, text string, lang string")
