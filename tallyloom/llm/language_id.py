@@ -231,7 +231,7 @@ def calibrate(model: Model, rows: DataFrame, few: int = 200) -> Model:
 
 
 def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", entries: int = 150_000) -> Model:
-    """A model from all rows that pass learn, with its rejection calibrated on all of them."""
+    """A model from all rows that pass learn, with its rejection calibrated on all of them whose best language is their own."""
     known = docs.where(learn & F.col(lang).isNotNull())
     model = estimate(written(count_grams(known, text, lang)), entries)
     shared, index = docs.sparkSession.sparkContext.broadcast(model), {x: i for i, x in enumerate(model.langs)}
@@ -240,13 +240,13 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
         scorer = TextScorer(shared.value)
         for batch in batches:
             sums = scorer(batch.column(1).to_pylist())
-            own = np.array([index.get(x, 0) for x in batch.column(0).to_pylist()], dtype=np.int64)
-            symbols = sums[:, -1]
-            entropy = -sums[np.arange(len(own)), own] / np.maximum(symbols, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(symbols, pa.float64()), pa.array(entropy, pa.float64())], names=["lang", "symbols", "entropy"])
+            best, _, entropy = judged(shared.value, sums)
+            true = np.array([index.get(x, -2) for x in batch.column(0).to_pylist()], dtype=np.int64) == best
+            found = [pa.array(best[true], pa.int64()), pa.array(sums[true, -1], pa.float64()), pa.array(entropy[true], pa.float64())]
+            yield pa.RecordBatch.from_arrays(found, names=["lang", "symbols", "entropy"])
 
     picked = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return calibrate(model, written(picked.mapInArrow(measured, "lang long, symbols double, entropy double").where("symbols > 0")))
+    return calibrate(model, written(picked.mapInArrow(measured, "lang long, symbols double, entropy double")))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
