@@ -1,9 +1,9 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Each word becomes a class: insult, threat, target, negation, report or other. One small transducer each follows
-target, negation and reported speech; their composition is one machine whose state at an insult or threat says
-by what factor it counts. A clause scores the sum of its factored weights; a document is judged by its matched
-clauses. Insult stems and their weights are learnt from labelled texts, the rest of the grammar is fixed.
+target, insult, negation and reported speech; their composition is one machine whose state at an insult or threat
+says by what factor it counts. A threat counts if its clause holds a target or an insult, before or after it. A
+clause scores the sum of its factored weights; a document is judged by its matched clauses. Insult stems and their weights are learnt from labelled texts, the rest of the grammar is fixed.
 """
 
 from __future__ import annotations
@@ -34,29 +34,33 @@ TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]+")
 
 @dataclass
 class Transducer:
-    """States, a move for every (state, class), and the factor of a match in each state. It starts in state 0."""
+    """States, a move for every (state, class), the factor of a match in each state, and the factor that a threat
+    gains in it if it came before (0 where it goes on waiting). It starts in state 0."""
 
     size: int
     moves: dict[tuple[int, int], int]
     factors: list[float]
+    releases: list[float]
 
     def compose(self, other: Transducer) -> Transducer:
-        """The machine that follows both at once; factors multiply."""
+        """The machine that follows both at once; factors multiply, and either one releases a threat."""
         at = lambda a, b: a * other.size + b
         moves = {
             (at(a, b), c): at(self.moves.get((a, c), a), other.moves.get((b, c), b))
             for a, b, c in product(range(self.size), range(other.size), range(END + 1))
         }
-        return Transducer(self.size * other.size, moves, [x * y for x in self.factors for y in other.factors])
+        factors = [x * y for x in self.factors for y in other.factors]
+        return Transducer(self.size * other.size, moves, factors, [max(x, y) for x in self.releases for y in other.releases])
 
 
 def grammar(targeted: float = 1.25, negated: float = 0.7, reported: float = 0.7) -> Transducer:
     """Target once named holds to the end of the clause, so does reported speech; negation holds for three words."""
-    target = Transducer(2, {(0, TARGET): 1, (1, END): 0}, [1.0, targeted])
+    target = Transducer(2, {(0, TARGET): 1, (1, END): 0}, [1.0, targeted], [0.0, targeted])
+    insult = Transducer(2, {(0, INSULT): 1, (1, END): 0}, [1.0, 1.0], [0.0, 1.0])
     negation = {(s, NEGATION): 3 for s in range(4)} | {(s, END): 0 for s in range(4)}
     negation |= {(s, c): s - 1 for s in (1, 2, 3) for c in (OTHER, INSULT, THREAT, TARGET, REPORT)}
-    report = Transducer(2, {(0, REPORT): 1, (1, END): 0}, [1.0, reported])
-    return target.compose(Transducer(4, negation, [1.0, negated, negated, negated])).compose(report)
+    report = Transducer(2, {(0, REPORT): 1, (1, END): 0}, [1.0, reported], [0.0, 0.0])
+    return target.compose(insult).compose(Transducer(4, negation, [1.0, negated, negated, negated], [0.0] * 4)).compose(report)
 
 
 @dataclass
@@ -94,17 +98,20 @@ class Scorer:
         classes = list(map(self._classes.__getitem__, TOKEN.findall(text.lower())))
         if not any(w for _, w in classes):
             return len(classes), []
-        scores, state, total, moves, factors = [], 0, 0.0, self._machine.moves, self._machine.factors
-        insulted = False
+        scores, state, total, pending = [], 0, 0.0, 0.0
+        moves, factors, releases = self._machine.moves, self._machine.factors, self._machine.releases
         for kind, weight in classes:
-            if weight and (kind == INSULT or insulted or factors[state] > 1):
+            if kind == THREAT and not releases[state]:
+                pending += weight * factors[state]
+            elif weight:
                 total += weight * factors[state]
-                insulted |= kind == INSULT
             state = moves[state, kind]
+            if pending and releases[state]:
+                total, pending = total + pending * releases[state], 0.0
             if kind == END:
                 if total:
                     scores.append(total)
-                total, insulted = 0.0, False
+                total, pending = 0.0, 0.0
         return len(classes), scores + [total] * bool(total)
 
     def features(self, text: str) -> list[float]:

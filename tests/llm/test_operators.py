@@ -300,6 +300,26 @@ def test_grammar_states():
     assert score("you. an idiot") == 2.0
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("I will kill him", 1.25),
+        ("kill you, you", 1.25),
+        ("ich töte dich", 1.25),
+        ("je vais frapper toi", 1.25),
+        ("kill and destroy them", 2 * 1.25),
+        ("never kill you", 0.7 * 1.25),
+        ("you never kill", 0.7 * 1.25),
+        ("it said kill you", 0.7 * 1.25),
+        ("kill the idiot", 1.0 + 2.0),
+        ("kill. you", 0.0),
+        ("kill time", 0.0),
+    ],
+)
+def test_a_threat_counts_before_and_after_its_target(text, expected):
+    assert sum(toxicity.Scorer({"idiot": 2.0}).clauses(text)[1]) == pytest.approx(expected)
+
+
 def test_commonest_is_bounded(spark):
     table = spark.range(1, 1001).withColumn("n", F.col("id"))
     kept = [r.n for r in commonest(table, "n", 100).collect()]
