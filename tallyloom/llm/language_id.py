@@ -1,24 +1,27 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language, of order four over the letters of words with marked ends. Counts of the highest order
-and, below, numbers of distinct left extensions are made by Spark over all training texts; the tables that score
-are sorted hash arrays of bounded size, broadcast. The language with the lowest cross-entropy per symbol wins,
+and, below, numbers of distinct left extensions are made by Spark over all training texts; the commonest strings are
+broadcast as sorted hash arrays of bounded size, and words with other strings get their scores by a join with the
+rest, so the bound changes no result. The language with the lowest cross-entropy per symbol wins,
 and a text whose cross-entropy is far above what its language shows in training is rejected.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.llm.labelled import remainder
-from tallyloom.llm.shared import commonest, written
+from tallyloom.llm.shared import bitmap, in_bitmap, parted, written
 from tallyloom.llm.words import mix
 
 ORDER = 4
@@ -95,12 +98,16 @@ class Table:
         table[place, langs] = values
         return Table(found, table, default)
 
-    def rows(self, hashes: np.ndarray) -> np.ndarray:
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of values; the last one, of defaults, for strings that are not there."""
         if not len(self.hashes):
-            return np.broadcast_to(np.float32(self.default), (len(hashes), self.values.shape[1]))
+            return np.zeros(len(hashes), dtype=np.int64)
         at = np.searchsorted(self.hashes, hashes)
         at[at == len(self.hashes)] = 0
-        return self.values[np.where(self.hashes[at] == hashes, at, len(self.hashes))]
+        return np.where(self.hashes[at] == hashes, at, len(self.hashes))
+
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        return self.values[self.places(hashes)]
 
 
 @dataclass
@@ -110,50 +117,96 @@ class Model:
     backoff: list[Table] = field(default_factory=list)
     usual: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ceiling: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probability of each word in each language, and its number of symbols."""
+    #: Bitmaps of the strings left out of the tables, by kind (twice the order, and one more for contexts), and
+    #: those strings with their values: kind, hash, cells. Empty and None where the tables hold all strings.
+    cut: dict[int, np.ndarray] = field(default_factory=dict)
+    rest: DataFrame | None = None
+
+    def word_scores(self, words: list[str], extra: dict[int, Table] | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+        """Log probability of each word in each language, its number of symbols, and the strings that the tables
+        lack though they may have been left out of them: kind, number of the word and hash. With extra, these are
+        looked up there."""
         sizes = np.array([len(w) + 1 for w in words])
         padded = "".join(START * (ORDER - 1) + w + STOP for w in words)
         points = np.frombuffer(padded.encode("utf-32-le"), dtype=np.uint32)
         first = np.cumsum(sizes + ORDER - 1) - sizes  # place of each word's first letter
         at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        p = np.float32(1e-6) + self.direct[0].rows(point_hashes(points[at][:, None]))
+        word, lacking = np.repeat(np.arange(len(words)), sizes), []
+
+        def rows(kind: int, symbols: np.ndarray) -> np.ndarray:
+            table, hashes = (self.backoff if kind % 2 else self.direct)[kind // 2 - 1], point_hashes(symbols)
+            place = table.places(hashes)
+            values = table.values[place]
+            if kind in self.cut:
+                out = np.flatnonzero(place == len(table.hashes))
+                out = out[in_bitmap(self.cut[kind], hashes[out])]
+                if extra is None:
+                    lacking.append((kind, word[out], hashes[out]))
+                elif kind in extra:
+                    values[out] = extra[kind].rows(hashes[out])
+            return values
+
+        p = np.float32(1e-6) + rows(2, points[at][:, None])
         for n in range(2, ORDER + 1):
             context = points[at[:, None] + np.arange(1 - n, 0)]
             gram = np.concatenate([context, points[at][:, None]], axis=1)
-            p = self.direct[n - 1].rows(point_hashes(gram)) + self.backoff[n - 1].rows(point_hashes(context)) * p
-        return np.add.reduceat(np.log(p), np.cumsum(sizes) - sizes, axis=0), sizes
+            p = rows(2 * n, gram) + rows(2 * n + 1, context) * p
+        return np.add.reduceat(np.log(p), np.cumsum(sizes) - sizes, axis=0), sizes, lacking
+
 
+CELLS = "array<struct<lang:int,value:float>>"
 
-def estimate(grams: DataFrame, entries: int) -> Model:
-    """Interpolated Kneser-Ney tables from counts of the highest order; at most entries strings per order.
 
-    The rarest strings beyond that are left to the lower orders, with the weight that this frees.
+def estimate(grams: DataFrame, entries: int, bits: int = 26) -> Model:
+    """Interpolated Kneser-Ney tables from counts of the highest order.
+
+    The tables hold at most entries strings per order, the commonest ones, with their values in all languages (fewer
+    beyond 32 languages). The others stay in a written table, rest, with bitmaps of 2**bits bits to tell them.
     """
-    levels = [grams]
+    levels = [grams.withColumn("seen", F.col("n"))]
     for n in range(ORDER - 1, 0, -1):
-        levels.insert(0, written(levels[0].groupBy("lang", F.expr(f"right(gram, {n})").alias("gram")).agg(F.count("*").alias("n"))))
+        shorter = levels[0].groupBy("lang", F.expr(f"right(gram, {n})").alias("gram"))
+        levels.insert(0, written(shorter.agg(F.count("*").alias("n"), F.sum("seen").alias("seen"))))
     langs = [r.lang for r in levels[0].select("lang").distinct().orderBy("lang").collect()]
-    model, index = Model(langs), {x: i for i, x in enumerate(langs)}
+    model, rest = Model(langs), []
+    if not langs:
+        return model
+    number = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int")
+    held = min(entries, 32 * entries // len(langs))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pa.array(gram_hashes(batch.column(0).to_pylist()).view(np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([hashes, batch.column(1)], names=["hash", "cells"])
+
+    def table(kind: int, each: DataFrame, default: float) -> Table:
+        """Of lang, gram, value and seen (the share among its language's strings) the table of the commonest."""
+        cells = F.collect_list(F.struct(number.alias("lang"), F.col("value").cast("float").alias("value")))
+        strings = written(each.groupBy("gram").agg(F.max("seen").alias("seen"), cells.alias("cells")))
+        common, others, any_other = parted(strings, "seen", held)
+        if any_other:
+            left = written(others.select("gram", "cells").mapInArrow(hashed, f"hash long, cells {CELLS}"))
+            model.cut[kind] = bitmap(left, "hash", bits)
+            rest.append(left.select(F.lit(kind).alias("kind"), "hash", "cells"))
+        rows = common.select("gram", F.explode("cells").alias("c")).select("gram", "c.*").toPandas()
+        return Table.of(rows["gram"].tolist(), rows["lang"].to_numpy(dtype=np.int64), rows["value"].to_numpy(dtype=np.float32), len(langs), default)
+
     for n, level in enumerate(levels, 1):
         level = level.withColumn("context", F.expr(f"left(gram, {n - 1})"))
         ones = F.sum((F.col("n") == 1).cast("long"))
         twos = F.sum((F.col("n") == 2).cast("long"))
-        discount = level.groupBy("lang").agg(F.try_divide(ones, ones + 2 * twos).alias("d"), F.sum("n").alias("all_n"))
-        totals = level.groupBy("lang", "context").agg(F.sum("n").alias("total"))
-        share = F.greatest(F.col("n") - F.when(F.lit(n > 1), F.coalesce("d", F.lit(0.5))).otherwise(0.0), F.lit(0.0)) / F.col("total")
-        shares = written(
-            level.join(totals, ["lang", "context"])
-            .join(F.broadcast(discount), "lang")
-            .select("lang", "gram", "context", share.alias("p"), (F.col("n") / F.col("all_n")).alias("rank"))
-        )
-        rows = commonest(shares, "rank", entries).select("lang", "gram", "context", "p").toPandas()
-        at = rows["lang"].map(index).to_numpy(dtype=np.int64)
-        model.direct.append(Table.of(rows["gram"].tolist(), at, rows["p"].to_numpy(dtype=np.float32), len(langs), 0.0))
-        freed = (1 - rows.groupby(["lang", "context"], sort=False)["p"].sum()).clip(1e-4, 1).reset_index()
-        at = freed["lang"].map(index).to_numpy(dtype=np.int64)
-        model.backoff.append(Table.of(freed["context"].tolist(), at, freed["p"].to_numpy(dtype=np.float32), len(langs), 1.0) if n > 1 else None)
+        discount = level.groupBy("lang").agg(F.try_divide(ones, ones + 2 * twos).alias("d"), F.sum("seen").alias("all_seen"))
+        discount = discount.withColumn("d", F.coalesce("d", F.lit(0.5)) if n > 1 else F.lit(0.0))
+        totals = level.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types"), F.sum("seen").alias("context_seen"))
+        contexts = written(totals.join(F.broadcast(discount), "lang"))
+        share = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
+        shares = level.join(contexts, ["lang", "context"]).select("lang", "gram", share.alias("value"), (F.col("seen") / F.col("all_seen")).alias("seen"))
+        model.direct.append(table(2 * n, shares, 0.0))
+        freed = F.least(F.greatest(F.col("d") * F.col("types") / F.col("total"), F.lit(1e-4)), F.lit(1.0))
+        freed = contexts.select("lang", F.col("context").alias("gram"), freed.alias("value"), (F.col("context_seen") / F.col("all_seen")).alias("seen"))
+        model.backoff.append(table(2 * n + 1, freed, 1.0) if n > 1 else None)
+    for part in rest:
+        model.rest = part if model.rest is None else model.rest.unionByName(part)
     return model
 
 
@@ -169,10 +222,15 @@ class TextScorer:
     def _clear(self) -> None:
         self._place: dict[str, int] = {}
         self._scores = np.zeros((0, len(self._model.langs) + 1), dtype=np.float32)
+        self._unsure: set[str] = set()
 
     def __call__(self, values: list) -> np.ndarray:
         """Per text, the summed log probability in each language, then the number of symbols."""
-        out = np.zeros((len(values), len(self._model.langs) + 1))
+        return self.parts(values)[0]
+
+    def parts(self, values: list) -> tuple[np.ndarray, dict[int, Counter]]:
+        """The same without the words that need strings left out of the tables; and by text those words."""
+        out, unsure = np.zeros((len(values), len(self._model.langs) + 1)), {}
         for at in range(0, len(values), 256):
             lists = [self._find((v or "").lower()) for v in values[at : at + 256]]
             new = [w for w in dict.fromkeys(w for x in lists for w in x) if w not in self._place]
@@ -181,15 +239,25 @@ class TextScorer:
                 new = list(dict.fromkeys(w for x in lists for w in x))
             parts = [self._scores]
             for i in range(0, len(new), 20_000):
-                logs, sizes = self._model.word_scores(new[i : i + 20_000])
-                parts.append(np.column_stack([logs, sizes]).astype(np.float32))
+                if not self._model.langs:
+                    parts.append(np.array([[len(w) + 1] for w in new[i : i + 20_000]], dtype=np.float32))
+                    continue
+                logs, sizes, lacking = self._model.word_scores(new[i : i + 20_000])
+                scores = np.column_stack([logs, sizes]).astype(np.float32)
+                if lacking:
+                    later = np.unique(np.concatenate([x[1] for x in lacking]))
+                    scores[later] = 0
+                    self._unsure.update(new[i + j] for j in later)
+                parts.append(scores)
             self._place.update((w, len(self._scores) + i) for i, w in enumerate(new))
             self._scores = np.concatenate(parts)
             for i, found in enumerate(lists, at):
                 if found:
                     rows = np.fromiter(map(self._place.__getitem__, found), dtype=np.int64, count=len(found))
                     out[i] = self._scores[rows].sum(axis=0, dtype=np.float64)
-        return out
+                    if self._unsure and (later := Counter(w for w in found if w in self._unsure)):
+                        unsure[i] = later
+        return out, unsure
 
 
 def judged(model: Model, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,6 +273,86 @@ def judged(model: Model, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return np.where(none, -1, best), np.where(none, 0.0, score), np.where(none, 0.0, least)
 
 
+def _lists(sums: np.ndarray) -> pa.Array:
+    ends = np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel(), pa.float64()))
+
+
+def scored(docs: DataFrame, model: Model, text: str, kept: list[str], finish: Callable, schema: str | StructType) -> DataFrame:
+    """What finish makes of the columns kept (one struct) and the sums of TextScorer, batch by batch.
+
+    Words with strings that the broadcast tables lack are scored once each by a join with model.rest, and what they
+    add goes back to their texts by a digest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
+    picked = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    if model.rest is None:
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer = TextScorer(shared.value)
+            for batch in batches:
+                yield finish(shared.value, batch.column(0), scorer(batch.column(1).to_pylist()))
+
+        return picked.mapInArrow(whole, schema)
+
+    row = picked.schema["row"].dataType.simpleString()
+    counted = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = TextScorer(shared.value)
+        for batch in batches:
+            values = batch.column(1).to_pylist()
+            sums, unsure = scorer.parts(values)
+            marks = [hashlib.blake2b(v.encode(), digest_size=16).hexdigest() if i in unsure else None for i, v in enumerate(values)]
+            later = [[{"word": w, "n": n} for w, n in unsure[i].items()] if i in unsure else None for i in range(len(values))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sums), pa.array(marks, pa.string()), pa.array(later, counted)], names=["row", "sums", "mark", "words"])
+
+    def lacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            for i in range(0, len(words), 2_000):
+                own = np.array(words[i : i + 2_000], dtype=object)
+                for kind, at, hashes in shared.value.word_scores(own.tolist())[2]:
+                    kinds = pa.array(np.full(len(at), kind), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(own[at], pa.string()), kinds, pa.array(hashes.view(np.int64), pa.int64())], names=["word", "kind", "hash"])
+
+    def completed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            values, extra = {}, {}
+            for found in batch.column(1).to_pylist():
+                for x in found:
+                    values.setdefault(x["kind"], {})[x["hash"]] = x["cells"]
+            for kind, own in values.items():
+                hashes = np.array(sorted(h % (1 << 64) for h in own), dtype=np.uint64)
+                default = 1.0 if kind % 2 else 0.0
+                cells = np.full((len(hashes) + 1, len(model.langs)), default, dtype=np.float32)
+                for i, h in enumerate(hashes.view(np.int64).tolist()):
+                    for c in own[h] or []:
+                        cells[i, c["lang"]] = c["value"]
+                extra[kind] = Table(hashes, cells, default)
+            logs, sizes, _ = model.word_scores(batch.column(0).to_pylist(), extra)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(np.column_stack([logs, sizes]).astype(np.float64))], names=["word", "logs"])
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            yield finish(shared.value, batch.column(0), flat.reshape(batch.num_rows, len(shared.value.langs) + 1))
+
+    partial = written(picked.mapInArrow(first, f"row {row}, sums array<double>, mark string, words array<struct<word:string,n:long>>"))
+    marked = partial.where("mark is not null")
+    each = written(marked.select("mark", "words").dropDuplicates(["mark"]).select("mark", F.explode("words").alias("w")).select("mark", "w.*"))
+    needs = each.select("word").distinct().mapInArrow(lacked, "word string, kind int, hash long").distinct()
+    looked = needs.join(model.rest, ["kind", "hash"], "left").groupBy("word").agg(F.collect_list(F.struct("kind", "hash", "cells")).alias("found"))
+    words = written(looked.mapInArrow(completed, "word string, logs array<double>"))
+    added = each.join(words, "word").groupBy("mark").agg(F.collect_list(F.struct("n", "logs")).alias("s"))
+    start = F.array_repeat(F.lit(0.0), len(model.langs) + 1)
+    total = F.aggregate("s", start, lambda t, x: F.zip_with(t, x["logs"], lambda a, b: a + b * x["n"]))
+    added = written(added.select("mark", total.alias("added")))
+    later = marked.join(added, "mark").select("row", F.zip_with("sums", "added", lambda a, b: a + b).alias("sums"))
+    return partial.where("mark is null").select("row", "sums").unionByName(later).mapInArrow(last, schema)
+
+
 def calibrate(model: Model, rows: DataFrame, few: int = 200) -> Model:
     """model with usual and ceiling from rows of lang (its number), symbols and entropy.
 
@@ -234,51 +382,46 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     """A model from all rows that pass learn, with its rejection calibrated on all of them whose best language is their own."""
     known = docs.where(learn & F.col(lang).isNotNull())
     model = estimate(written(count_grams(known, text, lang)), entries)
-    shared, index = docs.sparkSession.sparkContext.broadcast(model), {x: i for i, x in enumerate(model.langs)}
+    index = {x: i for i, x in enumerate(model.langs)}
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = TextScorer(shared.value)
-        for batch in batches:
-            sums = scorer(batch.column(1).to_pylist())
-            best, _, entropy = judged(shared.value, sums)
-            true = np.array([index.get(x, -2) for x in batch.column(0).to_pylist()], dtype=np.int64) == best
-            found = [pa.array(best[true], pa.int64()), pa.array(sums[true, -1], pa.float64()), pa.array(entropy[true], pa.float64())]
-            yield pa.RecordBatch.from_arrays(found, names=["lang", "symbols", "entropy"])
+    def measured(model: Model, rows: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
+        best, _, entropy = judged(model, sums)
+        true = np.array([index.get(x, -2) for x in rows.field("lang").to_pylist()], dtype=np.int64) == best
+        found = [pa.array(best[true], pa.int64()), pa.array(sums[true, -1], pa.float64()), pa.array(entropy[true], pa.float64())]
+        return pa.RecordBatch.from_arrays(found, names=["lang", "symbols", "entropy"])
 
+    if not model.langs:
+        return model
     picked = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return calibrate(model, written(picked.mapInArrow(measured, "lang long, symbols double, entropy double")))
+    return calibrate(model, written(scored(picked, model, "text", ["lang"], measured, "lang long, symbols double, entropy double")))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, text: str = "text", carried: bool = True) -> DataFrame:
     """docs with lang_pred (und without letters), score (0 to 1), entropy and rejected; columns of these names are replaced.
 
     A text is rejected if it has no letters or its cross-entropy is above the ceiling for its length. Rows are
-    judged one by one, so repeated rows and nulls elsewhere need no care.
+    judged one by one, so repeated rows and nulls elsewhere need no care. carried False leaves the texts out.
     """
     added = ("lang_pred", "score", "entropy", "rejected")
     if text in added:
         raise ValueError(f"the text column {text!r} would be replaced")
-    kept = [c for c in docs.columns if c not in added]
-    shared, place = docs.sparkSession.sparkContext.broadcast(model), kept.index(text)
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("entropy", "double").add("rejected", "boolean")
-    names = schema.names
+    kept = [c for c in docs.columns if c not in added and (carried or c != text)]
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        scorer = TextScorer(model)
-        for batch in batches:
-            sums = scorer(batch.column(place).to_pylist()) if model.langs else np.zeros((batch.num_rows, 1))
-            best, score, entropy = judged(model, sums)
-            excess = (entropy - model.usual[best]) * np.sqrt(sums[:, -1]) if model.langs else entropy
-            rejected = (best < 0) | (excess > model.ceiling[best] if model.langs else True)
-            lang = pa.array(["und" if b < 0 else model.langs[b] for b in best], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, lang, pa.array(score), pa.array(entropy), pa.array(rejected)], names=names)
+    def found(model: Model, rows: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
+        best, score, entropy = judged(model, sums)
+        rejected = best < 0
+        if model.langs:
+            rejected = rejected | ((entropy - model.usual[best]) * np.sqrt(sums[:, -1]) > model.ceiling[best])
+        lang = pa.array(["und" if b < 0 else model.langs[b] for b in best], pa.string())
+        return pa.RecordBatch.from_arrays([rows, lang, pa.array(score), pa.array(entropy), pa.array(rejected)], names=["row", *added])
 
-    return docs.select(*kept).mapInArrow(found, schema)
+    row = docs.select(F.struct(*kept).alias("row")).schema["row"].dataType
+    schema = StructType().add("row", row).add("lang_pred", "string").add("score", "double").add("entropy", "double").add("rejected", "boolean")
+    return scored(docs, model, text, kept, found, schema).select("row.*", *added)
 
 
 def op1_language_id(docs: DataFrame) -> DataFrame:
     """The contract's columns: learnt where crc32 of doc_id modulo 3 is not 1."""
     model = train(docs, remainder("doc_id", 3) != 1)
-    found = identify(docs.select("doc_id", "text"), model)
+    found = identify(docs.select("doc_id", "text"), model, carried=False)
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")

@@ -57,7 +57,12 @@ def sampled(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
 
 
 def commonest(df: DataFrame, measure: str, entries: int) -> DataFrame:
-    """Rows of df with the highest measure, at most entries of them.
+    """Rows of df with the highest measure, at most entries of them; see parted."""
+    return parted(df, measure, entries)[0]
+
+
+def parted(df: DataFrame, measure: str, entries: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows of df with the highest measure, at most entries of them, the other rows, and whether there are any.
 
     The least measure to keep comes from a histogram over steps of an eighth of a doubling, so no task and not the
     driver sorts or gathers candidates; a step that would pass the bound is left out whole.
@@ -69,4 +74,6 @@ def commonest(df: DataFrame, measure: str, entries: int) -> DataFrame:
         if total + n > entries:
             break
         total, least = total + n, at
-    return df.where(step >= least) if least is not None else df.limit(0)
+    if least is None:
+        return df.limit(0), df, bool(counts)
+    return df.where(step >= least), df.where(step < least), total < sum(n for _, n in counts)

@@ -266,6 +266,19 @@ def test_texts_of_an_unlearnt_language_are_rejected(spark):
     assert language_id.identify(learnt, model).toPandas().rejected.mean() < 0.01
 
 
+def test_the_bound_on_tables_changes_no_result(spark, hard):
+    table = spark.read.parquet(f"{MORE}/documents.parquet").where("doc_id % 3 = 0 and length(text) < 2000").select("doc_id", "text", "lang")
+    table = table.unionByName(table.limit(5)).unionByName(hard.select("doc_id", "text", "lang").where("length(text) < 2000 or text is null"))
+    models = [language_id.train(table, F.lit(True), entries=n) for n in (150_000, 300)]
+    assert models[0].rest is None and all(m.rest is not None for m in models[1:])
+    key = ["doc_id", "text"]
+    wide, *narrow = (language_id.identify(table, m).toPandas().sort_values(key).reset_index(drop=True) for m in models)
+    for m, got in zip(models[1:], narrow):
+        assert m.usual == pytest.approx(models[0].usual, rel=1e-4) and m.ceiling == pytest.approx(models[0].ceiling, rel=1e-3)
+        assert got[[*key, "lang", "lang_pred", "rejected"]].equals(wide[[*key, "lang", "lang_pred", "rejected"]])
+        assert np.allclose(got.entropy, wide.entropy, rtol=1e-4) and np.allclose(got.score, wide.score, atol=1e-3)
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     words = ["aba", "abba", "cab", "abc", "bca"] * 20
     table = spark.createDataFrame([(i, w, "xx") for i, w in enumerate(words)], "doc_id long, text string, lang string")
