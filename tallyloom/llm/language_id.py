@@ -399,7 +399,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
 def identify(docs: DataFrame, model: Model, text: str = "text", carried: bool = True) -> DataFrame:
     """docs with lang_pred (und without letters), score (0 to 1), entropy and rejected; columns of these names are replaced.
 
-    A text is rejected if it has no letters or its cross-entropy is above the ceiling for its length. Rows are
+    A text is rejected if it has no letters or its cross-entropy is above the ceiling for its length; where no
+    language was learnt, texts with letters are und too, but only those without are rejected. Rows are
     judged one by one, so repeated rows and nulls elsewhere need no care. carried False leaves the texts out.
     """
     added = ("lang_pred", "score", "entropy", "rejected")
@@ -409,7 +410,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", carried: bool =
 
     def found(model: Model, rows: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
         best, score, entropy = judged(model, sums)
-        rejected = best < 0
+        rejected = sums[:, -1] == 0
         if model.langs:
             rejected = rejected | ((entropy - model.usual[best]) * np.sqrt(sums[:, -1]) > model.ceiling[best])
         lang = pa.array(["und" if b < 0 else model.langs[b] for b in best], pa.string())

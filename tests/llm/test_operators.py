@@ -386,6 +386,13 @@ def test_pipeline_on_hard_rows(spark, hard, items, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
 
 
+def test_without_a_learnt_language_only_texts_without_letters_go(spark, hard):
+    unlabelled = hard.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, unlabelled, "")
+    key = lambda r: (r.doc_id is not None, r.doc_id, r.text)
+    assert sorted(kept.select("doc_id", "text").collect(), key=key) == sorted((r for r in hard.select("doc_id", "text").collect() if r.doc_id not in (1, 2, 3, 7) and r.text), key=key)
+
+
 def test_every_operator_is_registered():
     assert {int(re.match(r"op(\d+)_", x)[1]) for x in QUERIES} == set(range(1, 11))
     assert set(ORACLE) <= set(QUERIES)
