@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import line_cleaning, minhash, winnowing
+from tallyloom.llm import hard_negatives, line_cleaning, line_dedup, minhash, spelling, winnowing
 from tallyloom.llm.language_id import op1_language_id
 from tallyloom.llm.license_scan import op3_license_scan
 from tallyloom.llm.line_cleaning import op5_line_cleaning
@@ -34,10 +34,16 @@ QUERIES = {
     "op8_quality_gam": _over(op8_quality_gam, "documents", "labels"),
     "op9_winnowing": _over(winnowing.op9_winnowing, "documents", "benchmark"),
     "op10_repeats": _over(op10_repeats, "documents"),
+    "op11_line_dedup": _over(line_dedup.op11_line_dedup, "documents"),
+    "op12_hard_negatives": _over(hard_negatives.op12_hard_negatives, "embeddings"),
+    "op13_spelling": _over(spelling.op13_spelling, "documents"),
 }
 
 ORACLE: dict[str, str] = {
     "op2_minhash": minhash.ORACLE_SQL,
     "op5_line_cleaning": line_cleaning.ORACLE_SQL,
     "op9_winnowing": winnowing.ORACLE_SQL,
+    "op11_line_dedup": line_dedup.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op13_spelling": spelling.ORACLE_SQL,
 }

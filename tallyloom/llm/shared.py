@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import gc
 import uuid
 
 import numpy as np
@@ -15,16 +18,62 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
 
 
+#: Folder of each written table, with a weak reference of the JVM to the relation that reads it.
+_HELD: dict[str, object] = {}
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing has been written to yet."""
+    return f"{shared_folder(spark)}/tallyloom-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept as a Parquet table in the shared folder.
 
-    Later reads start from the files, so a lost executor costs no recomputation of what came before.
-    The files stay until the folder is cleaned, because results built on them are lazy.
+    Later reads start from the files, so a lost executor costs no recomputation of what came before. The files are
+    deleted when no plan can read them any more; see sweep.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyloom-{uuid.uuid4().hex}"
+    path = fresh_folder(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    sweep(spark)
+    return tracked(spark, path, df.schema)
+
+
+def tracked(spark: SparkSession, path: str, schema: object) -> DataFrame:
+    """The Parquet table at path, whose files go when nothing can read them any more."""
+    table = spark.read.schema(schema).parquet(path)
+    relation = table._jdf.queryExecution().analyzed().relation()
+    _HELD[path] = spark._jvm.java.lang.ref.WeakReference(relation)
+    return table
+
+
+def sweep(spark: SparkSession, collect: bool = False) -> None:
+    """Delete written tables that no plan in the driver reads any more.
+
+    Plans of lazy results hold the relations they read, however they were derived, so these tables stay. With collect,
+    garbage is collected first: then all tables go whose DataFrames are out of scope, and so do shuffle files.
+    """
+    if collect:
+        gc.collect()
+        spark._jvm.System.gc()
+    for path in [p for p, relation in _HELD.items() if relation.get() is None]:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _HELD.pop(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+@atexit.register
+def _leave_nothing() -> None:
+    """At the end of the driver nothing can read a written table."""
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        spark = SparkSession.getActiveSession()
+        for path in list(_HELD):
+            _delete(spark, path)
 
 
 def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -56,6 +105,17 @@ def sampled(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
     return df if total <= rows else df.sample(fraction=rows / total, seed=seed)
 
 
+def sampled_by(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """About rows of df, or all of it if it has no more: those whose key has the least hashes.
+
+    Which rows they are depends on keys and their number only, not on partitions.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < F.lit(int(rows / total * (1 << 31))))
+
+
 def commonest(df: DataFrame, measure: str, entries: int) -> DataFrame:
     """Rows of df with the highest measure, at most entries of them; see parted."""
     return parted(df, measure, entries)[0]
@@ -65,15 +125,25 @@ def parted(df: DataFrame, measure: str, entries: int) -> tuple[DataFrame, DataFr
     """Rows of df with the highest measure, at most entries of them, the other rows, and whether there are any.
 
     The least measure to keep comes from a histogram over steps of an eighth of a doubling, so no task and not the
-    driver sorts or gathers candidates; a step that would pass the bound is left out whole.
+    driver sorts or gathers candidates. Where a step would pass the bound, as many of its rows are kept as fit, by a
+    second histogram over a hash of the row.
     """
     step = F.floor(8 * F.log2(measure))
-    counts = sorted(((r.step, r["count"]) for r in df.groupBy(step.alias("step")).count().collect()), reverse=True)
-    total, least = 0, None
-    for at, n in counts:
-        if total + n > entries:
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(1024))
+    steps = sorted(((r.step, r["count"]) for r in df.groupBy(step.alias("step")).count().collect()), reverse=True)
+    room, last = entries, None
+    for at, n in steps:
+        if n > room:
+            last = at
+            break
+        room -= n
+    if last is None:
+        return df, df.limit(0), False
+    parts = sorted((r.part, r["count"]) for r in df.where(step == last).groupBy(part.alias("part")).count().collect())
+    first = 0
+    for at, n in parts:
+        if n > room:
             break
-        total, least = total + n, at
-    if least is None:
-        return df.limit(0), df, bool(counts)
-    return df.where(step >= least), df.where(step < least), total < sum(n for _, n in counts)
+        room, first = room - n, at + 1
+    top = (step > last) | ((step == last) & (part < first))
+    return df.where(top), df.where(~top), True
