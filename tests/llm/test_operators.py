@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from compare import connect, differences
 from tallyloom.llm import language_id, license_scan, line_cleaning, minhash, packing, quality_gam, repeats, token_count, tokens, toxicity, winnowing
 from tallyloom.llm.components import components
 from tallyloom.llm.queries import ORACLE, QUERIES
@@ -309,7 +310,7 @@ def test_grammar_states():
     assert score("you idiot") == 2.0 * 1.25
     assert score("not an idiot") == 2.0 * 0.7
     assert score("he said an idiot") == pytest.approx(2.0 * 1.25 * 0.7)
-    assert score("kill you") == 0.0 and score("you: kill") == 1.25
+    assert score("kill you") == score("you: kill") == 1.25
     assert score("you. an idiot") == 2.0
 
 
@@ -394,16 +395,11 @@ def test_without_a_learnt_language_only_texts_without_letters_go(spark, hard):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", x)[1]) for x in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", x)[1]) for x in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_against_sql(spark, name):
-    connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
-        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
-    expected = connection.sql(ORACLE[name]).df().set_index("doc_id").sort_index()
-    got = QUERIES[name](spark, SMALL).toPandas().set_index("doc_id").sort_index()
-    assert sorted(got.columns) == sorted(expected.columns)
-    assert got[expected.columns].equals(expected)
+    with connect(SMALL) as connection:
+        assert differences(QUERIES[name](spark, SMALL), connection, ORACLE[name]) == []
