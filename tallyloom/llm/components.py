@@ -12,7 +12,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node and root (least node of its component) for all nodes of links a, b (long).
 
     Each step points neighbours at a least one; only the least is gathered per node, which is summed up before the
-    shuffle, so a node with very many links is no burden. The steps end when they change nothing.
+    shuffle, so a node with very many links is no burden. The steps end when they change nothing; their number grows
+    with the logarithm of the longest chain, so most_rounds could be passed by no chain that fits a table.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen = None

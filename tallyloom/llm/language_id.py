@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.llm.labelled import remainder
-from tallyloom.llm.shared import bitmap, in_bitmap, parted, written
+from tallyloom.llm.shared import Carried, bitmap, in_bitmap, parted, written
 from tallyloom.llm.words import mix
 
 ORDER = 4
@@ -210,6 +210,19 @@ def estimate(grams: DataFrame, entries: int, bits: int = 26) -> Model:
     return model
 
 
+def by_symbols(words: list[str], most: int) -> Iterator[list[str]]:
+    """The words in runs of about most symbols, as text without blanks can make words of any length."""
+    some, held = [], 0
+    for word in words:
+        some.append(word)
+        held += len(word) + ORDER
+        if held > most:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
 class TextScorer:
     """Cross-entropies of texts, with word scores remembered for at most limit words."""
 
@@ -238,16 +251,16 @@ class TextScorer:
                 self._clear()
                 new = list(dict.fromkeys(w for x in lists for w in x))
             parts = [self._scores]
-            for i in range(0, len(new), 20_000):
+            for some in by_symbols(new, 8_000_000 // max(32, len(self._model.langs))):
                 if not self._model.langs:
-                    parts.append(np.array([[len(w) + 1] for w in new[i : i + 20_000]], dtype=np.float32))
+                    parts.append(np.array([[len(w) + 1] for w in some], dtype=np.float32))
                     continue
-                logs, sizes, lacking = self._model.word_scores(new[i : i + 20_000])
+                logs, sizes, lacking = self._model.word_scores(some)
                 scores = np.column_stack([logs, sizes]).astype(np.float32)
                 if lacking:
                     later = np.unique(np.concatenate([x[1] for x in lacking]))
                     scores[later] = 0
-                    self._unsure.update(new[i + j] for j in later)
+                    self._unsure.update(some[j] for j in later)
                 parts.append(scores)
             self._place.update((w, len(self._scores) + i) for i, w in enumerate(new))
             self._scores = np.concatenate(parts)
@@ -284,7 +297,7 @@ def scored(docs: DataFrame, model: Model, text: str, kept: list[str], finish: Ca
     Words with strings that the broadcast tables lack are scored once each by a join with model.rest, and what they
     add goes back to their texts by a digest.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
+    shared = Carried(docs.sparkSession, replace(model, rest=None))
     picked = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
     if model.rest is None:
 
@@ -309,9 +322,8 @@ def scored(docs: DataFrame, model: Model, text: str, kept: list[str], finish: Ca
 
     def lacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            for i in range(0, len(words), 2_000):
-                own = np.array(words[i : i + 2_000], dtype=object)
+            for some in by_symbols(batch.column(0).to_pylist(), 30_000):
+                own = np.array(some, dtype=object)
                 for kind, at, hashes in shared.value.word_scores(own.tolist())[2]:
                     kinds = pa.array(np.full(len(at), kind), pa.int32())
                     yield pa.RecordBatch.from_arrays([pa.array(own[at], pa.string()), kinds, pa.array(hashes.view(np.int64), pa.int64())], names=["word", "kind", "hash"])

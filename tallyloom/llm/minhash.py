@@ -2,16 +2,21 @@
 
 Equal shingle sets are one class first, so copies cost one signature. Each class is posted under the
 (coordinate, value) pairs of a prefix of its signature, rare pairs first: two classes that agree in at least
-`least_matches` of `coordinates` places agree in one of the first coordinates - least_matches + 1. A posting list first gives
-links to its leader only, never all its pairs. Merging compares signatures of posted pairs and skips the pairs
-that agree too seldom; those left are confirmed on full shingle sets. What the leaders join into components needs
-no further look, so a second round posts only members of a list that are not in its leader's component against
-the members of other components. That round is exhaustive, so no link between components is lost.
+`least_matches` of `coordinates` places agree in one of the first coordinates - least_matches + 1. Pairs that only one
+class holds meet nobody, and a class with fewer others than it needs to agree in is not posted at all. Merging
+compares signatures of classes that met and skips those that agree too seldom; the rest are confirmed on full
+shingle sets.
+
+A family of near copies needs no look at all its pairs to become one component. So in several turns each posting
+list compares its members with one leader, another in every turn, and lists whose members are all in one component
+are done. Lists that still hold several components after that are looked through exhaustively, but only between
+components. So no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.shared import bitmap, in_bitmap, written
+from tallyloom.llm.shared import bitmap, in_bitmap, map_bits, sweep, written
 from tallyloom.llm.words import NOT_BLANK, grams, mix, texts, words
 
 _SEEDS = np.random.default_rng(11)
 _XOR = _SEEDS.integers(1, 1 << 63, 256, dtype=np.uint64)
 _TIMES = _SEEDS.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_TURNS = tuple(int(x) for x in _SEEDS.integers(0, 1 << 62, 64))
 SIGNED = "doc_id long, n_shingles long, set_id long, check long, signature array<int>"
 
 
@@ -79,19 +85,20 @@ def signed(docs: DataFrame, doc_id: str, text: str, size: int, coordinates: int)
     return picked.mapInArrow(found, SIGNED)
 
 
-def posted(classes: DataFrame, prefix: int, bits: int, levels: tuple[int, ...] = (16, 128, 1024)) -> DataFrame:
-    """set_id, n and post (coordinate and value in one number) of the prefix of each class's signature.
+def posted(classes: DataFrame, prefix: int, least_matches: int, levels: tuple[int, ...] = (1, 4, 32, 256, 2048)) -> DataFrame:
+    """id, n and post (coordinate and value in one number) of the prefix of each class's signature.
 
-    All classes order their posts alike: rare ones first, then by coordinate. Posts held by more than 16, 128 or
-    1024 classes, such as those of a line that very many texts share, come last, so they are in a prefix only
-    where a text has hardly anything else. Bitmaps of fixed size tell the levels; a wrong bit changes the order
-    for all classes alike.
+    All classes order their posts alike: rare ones first, then by coordinate. Posts held by many classes, such as those
+    of a line that very many texts share, come last, so they are in a prefix only where a text has hardly anything
+    else. Bitmaps tell the levels; a wrong bit changes the order for all classes alike. Posts of the prefix that one
+    class alone holds are left out, and so are all of a class that has fewer than least_matches others.
     """
     post = F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     held = classes.select(F.posexplode("signature").alias("k", "v")).groupBy(post.alias("post")).agg(F.count("*").alias("n"))
     spread = F.col("post").bitwiseXOR(F.shiftright("post", 17))
     common = written(held.where(F.col("n") > levels[0]).select("n", spread.alias("spread")))
-    maps = [bitmap(common.where(F.col("n") > x), "spread", bits) for x in levels]
+    sizes = common.agg(*(F.count_if(F.col("n") > x) for x in levels)).first()
+    maps = [bitmap(common.where(F.col("n") > x), "spread", map_bits(n)) for x, n in zip(levels, sizes)]
     shared = classes.sparkSession.sparkContext.broadcast(maps)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +108,23 @@ def posted(classes: DataFrame, prefix: int, bits: int, levels: tuple[int, ...] =
             marks = np.stack(batch.column(2).to_numpy(zero_copy_only=False)).astype(np.int64) & 0xFFFFFFFF
             posts = marks | (np.arange(marks.shape[1], dtype=np.int64) << 32)
             level = sum(in_bitmap(x, (posts ^ (posts >> 17)).view(np.uint64).ravel()).astype(np.int64) for x in shared.value)
-            first = np.argsort(level.reshape(posts.shape), axis=1, kind="stable")[:, :prefix]
-            flat = np.take_along_axis(posts, first, axis=1).ravel()
-            repeated = np.repeat(np.arange(batch.num_rows), prefix)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(repeated)), batch.column(1).take(pa.array(repeated)), pa.array(flat)], names=["set_id", "n", "post"])
+            level = level.reshape(posts.shape)
+            first = np.argsort(level, axis=1, kind="stable")[:, :prefix]
+            useful = np.take_along_axis(level, first, axis=1) > 0
+            useful &= ((level > 0).sum(axis=1) >= least_matches)[:, None]
+            row = pa.array(np.nonzero(useful)[0])
+            flat = np.take_along_axis(posts, first, axis=1)[useful]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(flat)], names=["id", "n", "post"])
 
-    return classes.select("set_id", "n", "signature").mapInArrow(chosen, "set_id long, n long, post long")
+    return classes.select("id", "n", "signature").mapInArrow(chosen, "id long, n long, post long")
 
 
-def sets_of(docs: DataFrame, text: str, size: int, wanted: np.ndarray) -> DataFrame:
-    """Full shingle sets of the classes whose name is in the bitmap; a class may come more than once."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+def sets_of(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
+    """id and full shingle set of the classes in wanted (id, set_id, check).
+
+    A bitmap keeps most other sets from being sent; the join leaves out the rest of them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "set_id", map_bits(wanted.count())))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -120,17 +133,22 @@ def sets_of(docs: DataFrame, text: str, size: int, wanted: np.ndarray) -> DataFr
             for _, shingles in shingle_sets(batch.column(0), size):
                 if not len(shingles):
                     continue
-                name = named(shingles)[0]
-                if name not in seen and in_bitmap(shared.value, np.array([name], dtype=np.int64).view(np.uint64))[0]:
+                name = named(shingles)
+                if name not in seen and in_bitmap(shared.value, np.array(name[:1], dtype=np.int64).view(np.uint64))[0]:
                     names.append(name), sets.append(shingles.view(np.int64))
                     if len(seen) < 200_000:
                         seen.add(name)
                 if sum(map(len, sets[-64:])) > 4_000_000 or len(sets) >= 2_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "shingles"])
+                    yield out(names, sets)
                     names, sets = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "shingles"])
+            yield out(names, sets)
+
+    def out(names: list, sets: list) -> pa.RecordBatch:
+        one, two = (pa.array([x[i] for x in names], pa.int64()) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([one, two, pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "check", "shingles"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(found, "set_id long, shingles array<long>")
+    each = docs.select(F.col(text).alias("text")).mapInArrow(found, "set_id long, check long, shingles array<long>")
+    return each.dropDuplicates(["set_id", "check"]).join(wanted, ["set_id", "check"]).select("id", "shingles")
 
 
 def close(a: Column, b: Column, percent: int) -> Column:
@@ -144,23 +162,110 @@ def merged(pairs: DataFrame, classes: DataFrame, least_matches: int) -> DataFram
     Seven bits agree wherever all 32 do, so no pair is lost, and a pair takes a quarter of the room.
     """
     low = F.transform("signature", lambda x: x.bitwiseAND(F.lit(127)).cast("tinyint"))
-    marks = classes.select("set_id", low.alias("signature"))
-    both = pairs.join(marks.withColumnsRenamed({"set_id": "a", "signature": "sa"}), "a")
-    both = both.join(marks.withColumnsRenamed({"set_id": "b", "signature": "sb"}), "b")
+    marks = classes.select("id", low.alias("signature"))
+    both = pairs.join(marks.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
+    both = both.join(marks.withColumnsRenamed({"id": "b", "signature": "sb"}), "b")
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
     return both.where(agree >= least_matches).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int, bits: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose full sets have the similarity."""
-    wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("x")), "x", bits)
-    sets = written(sets_of(docs, text, size, wanted).dropDuplicates(["set_id"]))
-    both = pairs.join(sets.withColumnsRenamed({"set_id": "b", "shingles": "xb"}), "b")
-    both = both.join(sets.withColumnsRenamed({"set_id": "a", "shingles": "xa"}), "a")
+    both = pairs.join(sets.withColumnsRenamed({"id": "b", "shingles": "xb"}), "b")
+    both = both.join(sets.withColumnsRenamed({"id": "a", "shingles": "xa"}), "a")
     shared = F.size(F.array_intersect("xa", "xb"))
     return both.where(F.lit(100) * shared >= F.lit(percent) * (F.size("xa") + F.size("xb") - shared)).select("a", "b")
 
 
+SKETCH = tuple(f"bits{i}" for i in range(16))
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """id, how many of its shingles other sets of the table have too, and the set bits of these by a hash of ten bits.
+
+    Two sets have no more in common than either shares with any, less one for each bit that the other lacks.
+    """
+    each = sets.select("id", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("*").alias("held"), F.min("id").alias("id")).where("held = 1")
+    alone = alone.groupBy("id").agg(F.collect_list("shingle").alias("alone"))
+    rest = F.when(F.col("alone").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", "alone"))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, rows = [], []
+            for x in batch.column(1):
+                own = x.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                bits = np.zeros(64 * len(SKETCH), dtype=bool)
+                bits[mix(own ^ _XOR[1]) % np.uint64(len(bits))] = True
+                sizes.append(len(own)), rows.append(np.packbits(bits).view(np.int64))
+            words = np.array(rows, dtype=np.int64).reshape(len(rows), len(SKETCH))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(np.ascontiguousarray(w)) for w in words.T)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "shared", *SKETCH])
+
+    return sets.join(alone, "id", "left").select("id", rest.alias("rest")).mapInArrow(found, "id long, shared long, " + ", ".join(f"{x} long" for x in SKETCH))
+
+
+def most_common(a: str, b: str) -> Column:
+    """A bound of the shingles that two sketched sets have in common; a and b end the names of their columns."""
+    less = lambda x, y: F.col(f"shared_{x}") - reduce(Column.__add__, (F.bit_count(F.col(f"{c}_{x}").bitwiseAND(F.bitwise_not(f"{c}_{y}"))) for c in SKETCH))
+    return F.least(less(a, b), less(b, a))
+
+
+def rerooted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (id, root) after links a, b between ids: only roots that links join are looked at."""
+    of = lambda side: roots.withColumnsRenamed({"id": side, "root": f"root_{side}"})
+    ends = links.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b").distinct()
+    moved = components(ends).select(F.col("node").alias("root"), F.col("root").alias("further"))
+    return written(roots.join(moved, "root", "left").select("id", F.coalesce("further", "root").alias("root")))
+
+
+def linked(listed: DataFrame, classes: DataFrame, sets: DataFrame, least_matches: int, percent: int, turns: int) -> DataFrame:
+    """id and root (least id of its component) of all ids in posting lists (post, id, n).
+
+    In a turn each list that holds several components compares the members outside its leader's component with the
+    leader, the least id after some bits are turned over, others each time. A turn that links fewer than one pair in
+    forty that passed the merge is the last. Then members of different components meet in the lists that are left, if
+    the shingles that each shares with any of these members are enough for the similarity; see sketched.
+    """
+    spark = listed.sparkSession
+    roots = written(listed.select("id").distinct().withColumn("root", F.col("id")))
+    alive, tested = listed, None
+    for turned in (0, *_TURNS)[:turns]:
+        rooted = written(alive.join(roots, "id").select("post", "id", "n", "root"))
+        leader = F.min(F.col("id").bitwiseXOR(F.lit(turned))).bitwiseXOR(F.lit(turned))
+        lists = rooted.groupBy("post").agg(leader.alias("leader"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        lists = written(lists.join(roots.withColumnsRenamed({"id": "leader", "root": "leader_root"}), "leader").select("post", "leader", "leader_root"))
+        if lists.isEmpty():
+            return roots
+        alive = written(rooted.join(lists, "post"))
+        met = alive.where("root <> leader_root").groupBy("leader", "id").agg(F.min("n").alias("n"))
+        met = met.join(classes.select(F.col("id").alias("leader"), F.col("n").alias("leader_n")), "leader").where(close(F.col("n"), F.col("leader_n"), percent))
+        pairs = met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = written(merged(pairs, classes, least_matches))
+        links = written(confirmed(pairs, sets, percent))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        alive = alive.select("post", "id", "n")
+        found = links.count()
+        if found:
+            roots = rerooted(roots, links)
+        sweep(spark, collect=True)
+        if 40 * found < pairs.count():
+            break
+    rooted = alive.join(roots, "id").select("post", "id", "n", "root")
+    several = rooted.groupBy("post").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("post")
+    rooted = written(rooted.join(several, "post"))
+    rooted = written(rooted.join(sketched(sets.join(rooted.select("id").distinct(), "id", "left_semi")), "id"))
+    one, two = (rooted.select("post", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root", "shared", *SKETCH))) for side in "ab")
+    needed = F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    enough = (F.lit(100 + percent) * F.least("shared_a", "shared_b") >= needed) & (F.lit(100 + percent) * most_common("a", "b") >= needed)
+    met = one.join(two, "post").where((F.col("root_a") < F.col("root_b")) & enough)
+    pairs = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+    links = written(confirmed(written(merged(pairs, classes, least_matches)), sets, percent))
+    return roots if links.isEmpty() else rerooted(roots, links)
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -169,7 +274,7 @@ def near_duplicates(
     percent: int = 75,
     coordinates: int = 48,
     least_matches: int = 19,
-    bits: int = 23,
+    turns: int = 2,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, set_id, component_id (long), kept, first (boolean).
 
@@ -178,49 +283,43 @@ def near_duplicates(
     doc_id = component_id; first is true for exactly one row of each component, even where rows repeat. A null
     doc_id never gives the component its name while another has one.
 
+    Null and empty texts have no words and an empty set. An empty table gives no rows; repeated rows are linked with
+    each other; only the two named columns are read, so others may have any name. A text is handled as a whole within
+    one task.
+
     At a similarity of 0.75, 36 of 48 coordinates agree on average; fewer than 19 do in one pair of ten million.
-    set_id names a shingle set by 64 bits.
+    Shingles are 64-bit hashes, and 128 bits name a set; set_id has half of them.
     """
+    spark = docs.sparkSession
     table = written(signed(docs, doc_id, text, size, coordinates).withColumn("row", F.monotonically_increasing_id()))
-    classes = written(table.where("n_shingles > 0").groupBy("set_id").agg(F.min("n_shingles").alias("n"), F.first("signature").alias("signature")))
-    posts = posted(classes, coordinates - least_matches + 1, bits)
-    leaders = posts.groupBy("post").agg(F.min("set_id").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    listed = written(posts.join(leaders.select("post", "leader"), "post"))
-    sizes = classes.select(F.col("set_id").alias("leader"), F.col("n").alias("leader_n"))
-    starred = (
-        listed.where("set_id <> leader").groupBy("leader", "set_id").agg(F.min("n").alias("n")).join(sizes, "leader").where(close(F.col("n"), F.col("leader_n"), percent))
-    )
-    first_pairs = written(merged(starred.select(F.col("leader").alias("a"), F.col("set_id").alias("b")), classes, least_matches))
-    links = written(confirmed(first_pairs, docs, text, size, percent, bits))
-    roots = components(links)
-
-    rooted = listed.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    led = roots.withColumnsRenamed({"node": "leader", "root": "leader_root"})
-    rooted = rooted.join(led, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-    rooted = written(rooted.select("post", "set_id", "n", "root", (F.col("root") != F.col("leader_root")).alias("apart")))
-    apart = rooted.where("apart").select("post", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    others = rooted.select("post", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = apart.join(others, "post").where((F.col("ra") != F.col("rb")) & close(F.col("na"), F.col("nb"), percent))
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second_pairs = written(merged(met.join(first_pairs, ["a", "b"], "left_anti"), classes, least_matches))
-    more = written(confirmed(second_pairs, docs, text, size, percent, bits))
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
-
-    rows = table.drop("signature", "check").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-    alone = F.col("n_shingles") == 0
-    group = F.when(alone, F.struct(F.lit(1).alias("kind"), F.col("row").alias("id"))).otherwise(
-        F.struct(F.lit(0).alias("kind"), F.coalesce("root", "set_id").alias("id"))
-    )
-    rows = rows.withColumn("kind", group["kind"]).withColumn("id", group["id"])
-    head = rows.groupBy("kind", "id").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head"))
-    return rows.join(head, ["kind", "id"]).select(
+    classes = table.where("n_shingles > 0").groupBy("set_id", "check").agg(F.min("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()))
+    sweep(spark, collect=True)
+    posts = written(posted(classes, coordinates - least_matches + 1, least_matches))
+    several = written(posts.groupBy("post").agg(F.count("*").alias("members")).where("members > 1").select("post"))
+    listed = written(posts.join(several, "post").select("post", "id", "n"))
+    members = listed.select("id").distinct()
+    sets = written(sets_of(docs, text, size, written(classes.join(members, "id", "left_semi").select("id", "set_id", "check"))))
+    del posts, several, members
+    sweep(spark, collect=True)
+    roots = linked(listed, classes, sets, least_matches, percent, turns)
+
+    groups = written(classes.select("id", "set_id", "check").join(roots, "id", "left").select("set_id", "check", F.coalesce("root", "id").alias("group")))
+    del listed, sets, roots, classes
+    # documents without words are groups of their own, numbered from below zero
+    rows = table.drop("signature").join(groups, ["set_id", "check"], "left")
+    rows = written(rows.withColumn("group", F.when(F.col("n_shingles") == 0, -1 - F.col("row")).otherwise(F.col("group"))))
+    name = F.min("doc_id").alias("component_id")
+    heads = rows.groupBy("group").agg(name, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("head"))
+    heads = written(heads.select("group", "component_id", F.col("head.row").alias("head")))
+    sweep(spark, collect=True)
+    return rows.join(heads, "group").select(
         "doc_id",
         "n_shingles",
         "set_id",
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-        (F.col("row") == F.col("head.row")).alias("first"),
+        (F.col("row") == F.col("head")).alias("first"),
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.labelled import labelled_sample, remainder
+from tallyloom.llm.shared import Carried
 
 FEATURES = (
     "log_words", "mean_word", "symbol_share", "bar_share", "bang_share", "capital_share", "digit_share", "distinct_share",
@@ -161,7 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str, learn, sample_ro
 
 def score_quality(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score of every text. Null counts as empty; rows are scored one by one; other columns are not carried."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Carried(docs.sparkSession, model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

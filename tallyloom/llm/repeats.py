@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import bitmap, in_bitmap, written
+from tallyloom.llm.shared import bitmap, in_bitmap, map_bits, sweep, written
 from tallyloom.llm.words import mix, texts
 
 _RANDOM = np.random.default_rng(77)
@@ -163,37 +163,58 @@ def edge_windows(docs: DataFrame, length: int, gram: int, chosen: np.ndarray, wa
     return docs.mapInArrow(found, ", ".join(f"{n} long" for n in names))
 
 
-def repeated_intervals(docs: DataFrame, table: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
+def sized_bitmap(df: DataFrame, column: str) -> np.ndarray:
+    return bitmap(df, column, map_bits(df.count()))
+
+
+def repeated_intervals(docs: DataFrame, table: DataFrame, length: int, gram: int) -> DataFrame:
     """name, start and windows of all stretches of windows that occur twice or more."""
     each = table.select("name", F.explode("runs").alias("r")).select("name", "r.*")
     contents = written(each.groupBy("minimiser", "content").agg(F.count("*").alias("n")))
     several = written(contents.groupBy("minimiser").agg(F.count("*").alias("k")).where("k > 1").select("minimiser"))
-    mixed = bitmap(several, "minimiser", bits)
+    mixed = sized_bitmap(several, "minimiser")
     twice = contents.where("n > 1").select("minimiser", "content")
     settled = each.join(twice, ["minimiser", "content"]).select("name", "start", "windows")
     if not mixed.any():
         return settled
     edges = edge_windows(docs, length, gram, mixed, None).groupBy("hash").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
     met = written(edges.where("lo <> hi").select("hash"))
-    alone = bitmap(contents.where("n = 1").join(several, "minimiser", "left_semi"), "content", bits)
-    single = edge_windows(docs, length, gram, alone, bitmap(met, "hash", bits)).join(met, "hash")
+    alone = sized_bitmap(written(contents.where("n = 1").join(several, "minimiser", "left_semi").select("content")), "content")
+    single = edge_windows(docs, length, gram, alone, sized_bitmap(met, "hash")).join(met, "hash")
     return settled.unionByName(single.select("name", F.col("start").cast("int").alias("start"), F.lit(1).alias("windows")))
 
 
+def whole_characters(piece: bytes) -> bytes:
+    """A piece of UTF-8 without the bytes of characters that begin before it or end after it."""
+    first = 0
+    while first < len(piece) and piece[first] & 0xC0 == 0x80:
+        first += 1
+    last = len(piece)
+    for back in range(1, min(3, last - first) + 1):
+        lead = piece[last - back]
+        if lead & 0xC0 != 0x80:
+            size = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+            return piece[first : last - back] if size > back else piece[first:]
+    return piece[first:]
+
+
 REMOVED = "array<struct<start:int,end:int>>"
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 200, bits: int = 26) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 200) -> DataFrame:
     """One row per document: doc_id, name, n_bytes, n_removed, n_spans (long), kept_sha256, kept (binary, null where
-    nothing is removed, as the text stays as it is).
+    nothing is removed, as the text stays as it is), kept_text.
 
     Removed is each byte in a string of length bytes that also starts elsewhere, judged on the input. Null is
     empty; texts shorter than length lose nothing. Rows with equal text remove each other whole, so repeated rows
-    need no care; nor do null keys. bits sets the size of the broadcast bitmaps.
+    need no care; nor do null keys. kept_text (string, null as kept is) is kept without characters of which a cut
+    took some bytes. An empty table gives no rows; there are no ties; only the two named columns are read. Rows equal
+    in key and text share a name, and what is found for one of them holds for all. One text's windows are handled
+    within one task, half a megabyte of text at a time where rows are shorter than that.
     """
     picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     table = written(survey(picked, length, gram))
-    found = repeated_intervals(picked, table, length, gram, bits)
+    found = repeated_intervals(picked, table, length, gram).distinct()
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +233,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     removed = written(
         found.groupBy("name").agg(F.collect_list(F.struct("start", "windows")).alias("s")).mapInArrow(joined, f"name long, removed {REMOVED}")
     )
-    named = bitmap(removed, "name", bits)
+    named = sized_bitmap(removed, "name")
+    sweep(docs.sparkSession, collect=True)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(named)
 
@@ -234,18 +256,20 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
+            kept, whole = [], []
             for data, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 at, parts = 0, []
-                for x in marks:
+                for x in [*marks, {"start": len(data), "end": len(data)}]:
                     parts.append(data[at : x["start"]])
                     at = x["end"]
-                kept.append(b"".join([*parts, data[at:]]))
+                kept.append(b"".join(parts))
+                whole.append(b"".join(map(whole_characters, parts)).decode())
             digest = [hashlib.sha256(x).hexdigest() for x in kept]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(digest, pa.string())], names=["name", "kept", "digest"])
+            columns = [batch.column(0), pa.array(kept, pa.binary()), pa.array(digest, pa.string()), pa.array(whole, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "kept", "digest", "kept_text"])
 
     texts_of = picked.mapInArrow(affected, "name long, data binary").join(partly, "name").dropDuplicates(["name"])
-    rest = texts_of.mapInArrow(cut, "name long, kept binary, digest string")
+    rest = texts_of.mapInArrow(cut, "name long, kept binary, digest string, kept_text string")
     total = F.aggregate("removed", F.lit(0).cast("long"), lambda t, x: t + x["end"] - x["start"])
     return (
         table.drop("runs")
@@ -259,10 +283,11 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_spans"),
             F.when(F.col("removed").isNull(), F.col("sha256")).when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("digest")).alias("kept_sha256"),
             F.when(F.col("removed").isNotNull(), F.when(whole, F.lit(b"")).otherwise(F.col("kept"))).alias("kept"),
+            F.when(F.col("removed").isNotNull(), F.when(whole, F.lit("")).otherwise(F.col("kept_text"))).alias("kept_text"),
         )
     )
 
 
 def op10_repeats(docs: DataFrame) -> DataFrame:
     """The contract's columns for documents."""
-    return without_repeats(docs).drop("name", "kept")
+    return without_repeats(docs).drop("name", "kept", "kept_text")

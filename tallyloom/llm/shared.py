@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import contextlib
 import gc
+import pickle
 import uuid
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,27 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
 
 
+class Carried:
+    """A broadcast value that may hold classes of this subpackage.
+
+    Broadcasts name classes, so a worker that cannot import the subpackage could not read them. This one is sent as
+    bytes that carry the code of its classes along.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._held = None
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if self._held is None:
+            self._held = pickle.loads(self._sent.value)
+        return self._held
+
+    def __getstate__(self) -> dict:
+        return {"_held": None, "_sent": self._sent}
+
+
 #: Folder of each written table, with a weak reference of the JVM to the relation that reads it.
 _HELD: dict[str, object] = {}
 
@@ -93,6 +116,11 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     return words
 
 
+def map_bits(members: int, most: int = 27) -> int:
+    """Bits (as a power of two) of a bitmap with 16 places or more for each member, and no more than 2**most."""
+    return min(most, max(16, (16 * members).bit_length()))
+
+
 def in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For each 64-bit hash, whether its bit is set."""
     place = hashes & np.uint64(words.size * 64 - 1)

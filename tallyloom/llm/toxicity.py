@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.labelled import labelled_sample, remainder
-from tallyloom.llm.shared import commonest, written
+from tallyloom.llm.shared import Carried, commonest, written
 from tallyloom.llm.tokens import Memo
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -190,7 +190,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, sample_r
 
 def score_toxicity(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score of every text. Null counts as empty; rows are scored one by one; other columns are not carried."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Carried(docs.sparkSession, model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
