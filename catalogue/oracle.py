@@ -6,7 +6,7 @@ times count listed days, reports join line by line, duplicates use windows.
 
 from __future__ import annotations
 
-from catalogue.planted import RAW_DETAIL, RAW_HEADER, RAW_PRODUCT
+from catalogue.planted import RAW_DETAIL, RAW_HEADER, RAW_PRODUCT, WORSE_DETAIL, WORSE_HEADER, WORSE_PRODUCT
 from catalogue.queries import PREVIEW_ROWS, PRIORITY_PATTERN
 from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT, TableLayout
 
@@ -117,6 +117,16 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+_VIEWS |= {
+    "worse_product": (("raw_product",), WORSE_PRODUCT.format(raw_product="raw_product")),
+    "worse_header": (("raw_header",), WORSE_HEADER.format(raw_header="raw_header")),
+    "worse_detail": (("raw_detail",), WORSE_DETAIL.format(raw_detail="raw_detail")),
+} | {
+    name.replace("store", "worse_store"): ((name.replace("store", "worse"),), _VIEWS[name][1].replace("raw_", "worse_"))
+    for name in ("store_product", "store_header", "store_detail")
+}
+_VIEWS["worse_publish_product"] = (("worse_store_product",), _VIEWS["publish_product"][1].replace("store_product", "worse_store_product"))
+
 
 def _sql(body: str, *views: str) -> str:
     """Prefix the query with the views it needs, each after those it builds on."""
@@ -226,6 +236,31 @@ def _reconciliation() -> str:
     return _sql(" UNION ALL ".join(parts), *[f"store_{t}" for t, _ in tables])
 
 
+def _store_write_report() -> str:
+    """Each count its own query over the tables as they are stored."""
+    parts = []
+    for t, layout, low in (
+        ("product", PRODUCT, ()),
+        ("header", ORDER_HEADER, ("Freight < 0",)),
+        ("detail", ORDER_DETAIL, ("OrderQty <= 0", "UnitPrice < 0", "UnitPriceDiscount < 0")),
+    ):
+        view, key = f"worse_store_{t}", layout.key
+        below = " + ".join(f"(SELECT count(*) FROM {view} WHERE {x})" for x in low) or "0"
+        late = f"(SELECT count(*) FROM {view} WHERE ShipDate < OrderDate)" if t == "header" else "0"
+        # products are reduced to one row per text key before they are typed
+        kept = f"SELECT {'DISTINCT' * (t == 'product')} {key} FROM worse_{t}"
+        parts.append(
+            f"""SELECT '{layout.name}' AS TableName, (SELECT count(*) FROM {view}) AS StoreRows,
+            (SELECT count(*) FROM ({kept}) WHERE {key} IS NOT NULL AND TRY_CAST({key} AS BIGINT) IS NULL) AS LostKeys,
+            (SELECT count(*) FROM {view} WHERE {key} IS NULL) AS NullKeys,
+            CAST({late} AS BIGINT) AS OutOfOrder, CAST({below} AS BIGINT) AS BelowMinimum"""
+        )
+    return _sql(" UNION ALL ".join(parts), *(f"worse_store_{t}" for t in ("product", "header", "detail")))
+
+
+_RAGGED = "CAST(SalesOrderID AS BIGINT) % 701 = 1", "CAST(SalesOrderID AS BIGINT) % 709 = 2"
+_LINE = [f"coalesce({c}, '')" for c in ORDER_DETAIL.columns]
+
 _LINEITEM = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -308,6 +343,28 @@ ORACLE: dict[str, str] = {
         "publish_orders",
     ),
     "fine_amount_totals": "SELECT l_returnflag, round(sum(l_linenumber) / 4194304.0::DOUBLE, 12) AS Total FROM lineitem GROUP BY 1",
+    "ragged_records": _sql(
+        f"""SELECT '{ORDER_DETAIL.name}' AS TableName, {" || ',' || ".join(_LINE)} || ',extra' AS Record
+        FROM raw_detail WHERE {_RAGGED[0]}
+        UNION ALL SELECT '{ORDER_DETAIL.name}', {" || ',' || ".join(_LINE[:-1])} FROM raw_detail
+        WHERE {_RAGGED[1]} AND NOT ({_RAGGED[0]})""",
+        "raw_detail",
+    ),
+    "lines_without_ragged": _all_of("raw_detail", f"WHERE NOT ({' OR '.join(_RAGGED)})"),
+    "store_write_report": _store_write_report(),
+    "worse_order_ids": _duplicates("worse_header", "SalesOrderID", "worse_header"),
+    "worse_ship_dates": _sql(
+        f"SELECT DISTINCT ShipDate FROM worse_header WHERE NOT regexp_matches(ShipDate, '{DATE_PATTERN}')",
+        "worse_header",
+    ),
+    "worse_store_product": _all_of("worse_store_product"),
+    "worse_pk_duplicates_product": _duplicates("worse_store_product", "ProductID", "worse_store_product"),
+    "worse_pk_duplicates_header": _duplicates("worse_store_header", "SalesOrderID", "worse_store_header"),
+    "worse_pk_nulls_product": _all_of("worse_store_product", "WHERE ProductID IS NULL"),
+    "worse_pk_nulls_header": _all_of("worse_store_header", "WHERE SalesOrderID IS NULL"),
+    "worse_unit_prices": _all_of("worse_store_detail", "WHERE UnitPrice < 0"),
+    "worse_discounts": _all_of("worse_store_detail", "WHERE UnitPriceDiscount < 0"),
+    "worse_publish_product": _all_of("worse_publish_product"),
     "publish_product": _all_of("publish_product"),
     "publish_orders": _all_of("publish_orders"),
     "color_still_null": _all_of("publish_product", "WHERE Color IS NULL"),

@@ -87,6 +87,56 @@ SELECT
 FROM {lineitem}
 """
 
+# The same tables with the defects that they lack: every label of the category rules, lost, missing and repeated
+# keys ('012' beside '12'), equally complete rows, malformed shipping dates, negative prices and discounts.
+WORSE_PRODUCT = r"""
+WITH base AS (SELECT *, CAST(ProductID AS BIGINT) AS id FROM {raw_product}),
+worse AS (
+  SELECT
+    id,
+    CASE WHEN id % 97 = 5 THEN CONCAT('P', ProductID) WHEN id % 89 = 7 THEN NULL
+         WHEN id % 83 = 11 THEN CONCAT('0', CAST(id - 1 AS VARCHAR(20))) ELSE ProductID END AS ProductID,
+    MakeFlag, Color, SafetyStockLevel, ReorderPoint, StandardCost, ListPrice, Weight,
+    SizeUnitMeasureCode, WeightUnitMeasureCode,
+    CASE id % 15
+         WHEN 0 THEN 'Gloves' WHEN 1 THEN 'Shorts' WHEN 2 THEN 'Socks' WHEN 3 THEN 'Tights' WHEN 4 THEN 'Vests'
+         WHEN 5 THEN 'Locks' WHEN 6 THEN 'Lights' WHEN 7 THEN 'Headsets' WHEN 8 THEN 'Helmets' WHEN 9 THEN 'Pedals'
+         WHEN 10 THEN 'Pumps' WHEN 11 THEN 'Wheels' WHEN 12 THEN 'Saddles' WHEN 13 THEN 'Touring Frames'
+         ELSE 'Chains' END AS ProductSubCategoryName,
+    CASE WHEN id % 4 = 1 THEN 'Sundries' ELSE NULL END AS ProductCategoryName
+  FROM base)
+SELECT ProductID, MakeFlag, Color, SafetyStockLevel, ReorderPoint, StandardCost, ListPrice, Weight,
+       SizeUnitMeasureCode, WeightUnitMeasureCode, ProductSubCategoryName, ProductCategoryName
+FROM worse
+UNION ALL
+SELECT ProductID, MakeFlag, 'tied' AS Color, SafetyStockLevel, ReorderPoint, StandardCost, ListPrice, Weight,
+       SizeUnitMeasureCode, WeightUnitMeasureCode, ProductSubCategoryName, ProductCategoryName
+FROM worse
+WHERE id % 41 = 2
+"""
+
+WORSE_HEADER = r"""
+WITH base AS (SELECT *, CAST(SalesOrderID AS BIGINT) AS id FROM {raw_header})
+SELECT
+  CASE WHEN id % 211 = 3 THEN NULL WHEN id % 223 = 4 THEN CONCAT('SO', SalesOrderID) ELSE SalesOrderID END AS SalesOrderID,
+  OrderDate,
+  CASE WHEN id % 103 = 0 THEN substr(ShipDate, 1, 7) ELSE ShipDate END AS ShipDate,
+  OnlineOrderFlag, AccountNumber, CustomerID, SalesPersonID, Freight
+FROM base
+UNION ALL
+SELECT SalesOrderID, OrderDate, ShipDate, OnlineOrderFlag, AccountNumber, CustomerID, SalesPersonID, '-1.25' AS Freight
+FROM base
+WHERE id % 307 = 1
+"""
+
+WORSE_DETAIL = r"""
+SELECT
+  SalesOrderID, SalesOrderDetailID, OrderQty, ProductID,
+  CASE WHEN CAST(SalesOrderID AS BIGINT) % 307 = 2 THEN '-1.50' ELSE UnitPrice END AS UnitPrice,
+  CASE WHEN CAST(SalesOrderID AS BIGINT) % 311 = 3 THEN '-0.05' ELSE UnitPriceDiscount END AS UnitPriceDiscount
+FROM {raw_detail}
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -106,3 +156,19 @@ def raw_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(raw_product(spark, sf_dir), raw_header(spark, sf_dir), raw_detail(spark, sf_dir))
+
+
+def worse_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(WORSE_PRODUCT, raw_product=raw_product(spark, sf_dir))
+
+
+def worse_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(WORSE_HEADER, raw_header=raw_header(spark, sf_dir))
+
+
+def worse_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(WORSE_DETAIL, raw_detail=raw_detail(spark, sf_dir))
+
+
+def worse_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(worse_product(spark, sf_dir), worse_header(spark, sf_dir), worse_detail(spark, sf_dir))

@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, table
+from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, table, worse_detail, worse_header, worse_product, worse_tables
 from tallyloom.functions.dates import business_days
 from tallyloom.functions.totals import merge_sum, partial_sum
 from tallyloom.operators import review, standardise, validate
 from tallyloom.plans import pipeline, publish, quality, reports, store
 from tallyloom.schemas import DATE_PATTERN, LAYOUTS, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
-from tallyloom.sources.csv import read_csv, read_raw_tables, write_csv
+from tallyloom.sources.csv import RawTables, ragged_records, read_csv, read_raw_tables, without_ragged, write_csv
 from tallyloom.sources.scratch import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,9 @@ def _report(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 stored_product = _over(raw_product, store.store_product)
 stored_header = _over(raw_header, store.store_header)
 stored_detail = _over(raw_detail, store.store_detail)
+worse_stored_product = _over(worse_product, store.store_product)
+worse_stored_header = _over(worse_header, store.store_header)
+worse_stored_detail = _over(worse_detail, store.store_detail)
 published_product = _over(stored_product, publish.publish_product)
 
 
@@ -127,6 +130,34 @@ def _publish_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.reconcile({"PublishedOrders": (stored.detail, published.orders)})
 
 
+def _store_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was counted while the store of the worse tables was written."""
+    return pipeline.write_store_reported(worse_tables(spark, sf_dir), fresh_folder(spark, "layers")).report
+
+
+def _ragged_files(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The raw tables as files in which some order lines have a field too many, or one too few."""
+    folder = fresh_folder(spark, "csv")
+    product, header, detail = raw_tables(spark, sf_dir)
+    write_csv(product, f"{folder}/{PRODUCT.file_name}")
+    write_csv(header, f"{folder}/{ORDER_HEADER.file_name}")
+    order = F.col("SalesOrderID").cast("bigint")
+    fields = [F.coalesce(c, F.lit("")) for c in detail.columns]
+    line = F.when(order % 701 == 1, F.concat_ws(",", *fields, F.lit("extra"))).when(order % 709 == 2, F.concat_ws(",", *fields[:-1]))
+    lines = detail.select(F.coalesce(line, F.concat_ws(",", *fields)).alias(",".join(detail.columns)))
+    # one column of whole lines under the names of all columns; with a separator that does not occur, none is quoted
+    lines.write.options(header=True, sep="\x01").csv(f"{folder}/{ORDER_DETAIL.file_name}")
+    return read_raw_tables(spark, folder, ragged="_ragged")
+
+
+def _ragged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ragged_records(_ragged_files(spark, sf_dir), "_ragged")
+
+
+def _lines_without_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_ragged(_ragged_files(spark, sf_dir), "_ragged").detail
+
+
 def _wide_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published orders where every order, line and product number is beyond 32 bits."""
     wide = lambda df, *keys: df.withColumns({k: (F.col(k).try_cast("bigint") + 2**40).cast("string") for k in keys})
@@ -211,6 +242,20 @@ QUERIES: dict[str, Query] = {
     "publish_reconciliation": _publish_reconciliation,
     "wide_key_orders": _wide_key_orders,
     "fine_amount_totals": _fine_amounts,
+    # Records of the wrong length, and the raw tables with defects that they lack otherwise
+    "ragged_records": _ragged_records,
+    "lines_without_ragged": _lines_without_ragged,
+    "store_write_report": _store_write_report,
+    "worse_order_ids": _over(worse_header, lambda df: review.duplicate_keys(df, ["SalesOrderID"])),
+    "worse_ship_dates": _over(worse_header, lambda df: review.bad_format(df, "ShipDate", DATE_PATTERN)),
+    "worse_store_product": worse_stored_product,
+    "worse_pk_duplicates_product": _over(worse_stored_product, lambda df: review.duplicate_keys(df, [PRODUCT.key])),
+    "worse_pk_duplicates_header": _over(worse_stored_header, lambda df: review.duplicate_keys(df, [ORDER_HEADER.key])),
+    "worse_pk_nulls_product": _over(worse_stored_product, lambda df: validate.null_keys(df, [PRODUCT.key])),
+    "worse_pk_nulls_header": _over(worse_stored_header, lambda df: validate.null_keys(df, [ORDER_HEADER.key])),
+    "worse_unit_prices": _over(worse_stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["UnitPrice"])),
+    "worse_discounts": _over(worse_stored_detail, lambda df: validate.below_minimum(df, MINIMUMS["UnitPriceDiscount"])),
+    "worse_publish_product": _over(worse_stored_product, publish.publish_product),
     # Publish layer and its checks
     "publish_product": published_product,
     "publish_orders": published_orders,

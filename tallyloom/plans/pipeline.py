@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from typing import NamedTuple
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.functions.conditions import is_below
+from tallyloom.functions.typing import lost_in_typing
+from tallyloom.operators.standardise import apply_types
 from tallyloom.plans.publish import PublishTables, publish_orders, publish_product
-from tallyloom.plans.store import StoreTables, store_tables
-from tallyloom.schemas import LAYOUTS, Layouts
+from tallyloom.plans.store import StoreTables, clean_product, store_tables
+from tallyloom.schemas import LAYOUTS, Layouts, TableLayout
 from tallyloom.sources.csv import RawTables
 from tallyloom.sources.layers import read_layer, write_layer
 
@@ -19,6 +25,48 @@ def write_store(raw: RawTables, folder: str, layouts: Layouts = LAYOUTS) -> Stor
     return read_store(raw.product.sparkSession, folder)
 
 
+class WrittenStore(NamedTuple):
+    tables: StoreTables
+    report: DataFrame
+
+
+_REPORT = "TableName string, StoreRows long, LostKeys long, NullKeys long, OutOfOrder long, BelowMinimum long"
+_LOST = "_lost_key"
+
+
+def _counters(layout: TableLayout) -> dict[str, Column]:
+    """What can be counted row by row, for ``DataFrame.observe``."""
+    below = [F.count_if(is_below(m)) for m in layout.minimums]
+    none = F.max(F.lit(0))
+    return {
+        "StoreRows": F.count(F.lit(1)),
+        "LostKeys": F.count_if(_LOST),
+        "NullKeys": F.count_if(F.col(layout.key).isNull()),
+        "OutOfOrder": F.count_if(F.col("ShipDate") < F.col("OrderDate")) if "ShipDate" in layout.columns else none,
+        "BelowMinimum": sum(below[1:], below[0]) if below else none,
+    }
+
+
+def write_store_reported(raw: RawTables, folder: str, layouts: Layouts = LAYOUTS) -> WrittenStore:
+    """Write the three store tables, and count in the writing tasks what went into them: no table is read twice.
+
+    The report has a row per table: rows written, keys whose text was lost in typing, NULL keys (those among them),
+    reversed dates, and values below a minimum, added up over the columns that have one. Counters are taken where
+    the last stage writes, so a task that is run again replaces its counts. Repeated keys and orphans need a shuffle
+    of their own; see ``operators.review`` and ``operators.validate``.
+    """
+    spark = raw.product.sparkSession
+    texts = (clean_product(raw.product, layouts[0]), raw.header, raw.detail)
+    rows = []
+    for name, text, layout in zip(StoreTables._fields, texts, layouts):
+        marked = text.withColumn(_LOST, lost_in_typing(layout.key, layout.typed[layout.key]))
+        counters, seen = _counters(layout), Observation()
+        typed = apply_types(marked, layout.typed).observe(seen, *(c.alias(k) for k, c in counters.items()))
+        write_layer(typed.drop(_LOST), f"{folder}/store_{name}")
+        rows.append((layout.name, *(int(seen.get[k] or 0) for k in counters)))
+    return WrittenStore(read_store(spark, folder), spark.createDataFrame(rows, _REPORT))
+
+
 def read_store(spark: SparkSession, folder: str) -> StoreTables:
     return StoreTables(*[read_layer(spark, f"{folder}/store_{name}") for name in StoreTables._fields])
 

@@ -18,10 +18,14 @@ class StoreTables(NamedTuple):
     detail: DataFrame
 
 
+def clean_product(raw: DataFrame, layout: TableLayout = PRODUCT) -> DataFrame:
+    """Trimmed and one row per key, still as text."""
+    return most_complete(trim_columns(raw, layout.trimmed), [layout.key], [CATEGORY, SUBCATEGORY])
+
+
 def store_product(raw: DataFrame, layout: TableLayout = PRODUCT) -> DataFrame:
     """Colour stays NULL here, so that null checks on the store show the real gaps."""
-    trimmed = trim_columns(raw, layout.trimmed)
-    return apply_types(most_complete(trimmed, [layout.key], [CATEGORY, SUBCATEGORY]), layout.typed)
+    return apply_types(clean_product(raw, layout), layout.typed)
 
 
 def store_header(raw: DataFrame, layout: TableLayout = ORDER_HEADER) -> DataFrame:
@@ -33,7 +37,7 @@ def store_detail(raw: DataFrame, layout: TableLayout = ORDER_DETAIL) -> DataFram
 
 
 def store_tables(raw: RawTables, layouts: Layouts = LAYOUTS) -> StoreTables:
-    """Keys are 32-bit by default; larger ones need layouts made with ``TableLayout.with_types``."""
+    """Keys are 64-bit unless the layouts, made with ``TableLayout.with_types``, say otherwise."""
     product, header, detail = layouts
     return StoreTables(
         store_product(raw.product, product), store_header(raw.header, header), store_detail(raw.detail, detail)

@@ -35,6 +35,17 @@ def test_entry_answers_the_first_report(spark):
     assert years and len(years) == len(set(years))
 
 
+@pytest.mark.parametrize("name", sorted(x for x in QUERIES if x.startswith(("worse_", "ragged_", "store_write"))))
+def test_worse_tables_hold_what_is_looked_for(spark, name):
+    result = QUERIES[name](spark, SF_DIR)
+    assert not result.isEmpty()
+    if name == "store_write_report":
+        counts = {r.TableName: r for r in result.collect()}
+        assert all(r.StoreRows > r.NullKeys for r in counts.values())
+        assert counts["Product"].LostKeys > 0 and counts["SalesOrderHeader"].LostKeys > 0
+        assert counts["SalesOrderHeader"].OutOfOrder > 0 and counts["SalesOrderDetail"].BelowMinimum > 0
+
+
 # Counts found in DuckDB for the planted defects, at sf0.01.
 @pytest.mark.parametrize(
     ("name", "expected"),

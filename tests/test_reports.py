@@ -1,5 +1,7 @@
 from datetime import date
 
+from decimal import Decimal
+
 import pytest
 from conftest import as_list, as_set
 from hypothesis import HealthCheck, given, settings
@@ -141,11 +143,21 @@ def test_small_amounts_can_win(rows):
     assert totals["Red"] == pytest.approx(4.9e-4) and totals["Blue"] == 1e-6
 
 
-def test_sum_too_long_for_a_long_falls_back(spark):
-    parts = spark.createDataFrame(
-        [(2**62, 0, None, 4.6e18, 1), (2**62, 0, None, 4.6e18, 1)],
-        "_units long, _rest long, _beyond double, _rough double, _exact long",
-    )
-    assert parts.agg(merge_sum()).first()[0] == 9.2e18
-    lost = spark.createDataFrame([(None, 0, None, 1e19, 1), (1, 0, None, 1.0, 1)], parts.schema)
-    assert lost.agg(merge_sum()).first()[0] == 1e19
+LIMBS = "_high long, _low long, _rest long, _beyond double, _amounts long"
+
+
+def test_sums_beyond_a_long_carry(spark):
+    """Partial sums of 2^63 units and more, which a single long sum of units could not hold, in any order."""
+    parts = [(2**52, 2**53 - 1, 2**52 + 250_000, None, 2**43), (2**52, 1, -(2**52), None, 2**43), (-(2**20), 0, 500_000, None, 1), (None, None, None, 0.125, 1)] * 7
+    units = sum((p[0] or 0) * 2**20 + (p[1] or 0) for p in parts)
+    exact = float(units + sum(p[2] or 0 for p in parts) / Decimal(10**6)) + 7 * 0.125
+    assert units > 2**63
+    for order in (parts, parts[::-1], parts[3:] + parts[:3]):
+        assert spark.createDataFrame(order, LIMBS).repartition(3).agg(merge_sum()).first()[0] == exact
+
+
+@pytest.mark.parametrize("amount", [-1.0, -0.000001, -1048576.5, 999_999_999.999999, 1048576.0, -999_999_999.0])
+def test_limbs_of_either_sign(rows, amount):
+    df = rows([(1, amount)] * 3, "k int, x double")
+    [(total,)] = df.groupBy("k").agg(*partial_sum("x")).agg(merge_sum()).collect()
+    assert total == float(3 * Decimal(str(amount)))

@@ -42,6 +42,16 @@ def test_given_schema_must_match_the_header(spark, csv_file):
         read_csv(spark, swapped, schema=ORDER_DETAIL.raw_schema).collect()
 
 
+def test_ragged_records_are_told(spark, csv_file):
+    path = csv_file('a,b,c\n1,2,3\n1,2\n1,2,3,4\n"x,y",,\n,,\n1\n')
+    df = read_csv(spark, path, ragged="bad")
+    assert as_set(df.where("bad is not null").select("bad")) == {("1,2",), ("1,2,3,4",), ("1",)}
+    assert as_set(df.where("bad is null").drop("bad")) == {("1", "2", "3"), ("x,y", None, None), (None, None, None)}
+    assert df.select("a").count() == 6 and df.where("bad is not null").count() == 3
+    with pytest.raises(ValueError, match="column 'b'"):
+        read_csv(spark, path, ragged="b")
+
+
 def test_csv_round_trip_keeps_spaces_quotes_and_nulls(spark, rows, tmp_path):
     df = rows([(" a ", 'say "hi"'), (None, "x,y"), ("\tb", "back\\slash")], "x string, y string")
     write_csv(df, str(tmp_path / "t"))
