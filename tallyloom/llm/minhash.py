@@ -255,12 +255,14 @@ def linked(listed: DataFrame, classes: DataFrame, sets: DataFrame, least_matches
     rooted = alive.join(roots, "id").select("post", "id", "n", "root")
     several = rooted.groupBy("post").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("post")
     rooted = written(rooted.join(several, "post"))
-    rooted = written(rooted.join(sketched(sets.join(rooted.select("id").distinct(), "id", "left_semi")), "id"))
-    one, two = (rooted.select("post", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root", "shared", *SKETCH))) for side in "ab")
+    posts = rooted.groupBy("id").agg(F.collect_list("post").alias("posts"))
+    rooted = written(rooted.join(sketched(sets.join(posts, "id", "left_semi")).join(posts, "id"), "id"))
+    one, two = (rooted.select("post", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root", "posts", "shared", *SKETCH))) for side in "ab")
     needed = F.lit(percent) * (F.col("n_a") + F.col("n_b"))
     enough = (F.lit(100 + percent) * F.least("shared_a", "shared_b") >= needed) & (F.lit(100 + percent) * most_common("a", "b") >= needed)
-    met = one.join(two, "post").where((F.col("root_a") < F.col("root_b")) & enough)
-    pairs = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    first = F.array_min(F.array_intersect("posts_a", "posts_b")) == F.col("post")  # of the lists that hold both
+    met = one.join(two, "post").where((F.col("root_a") < F.col("root_b")) & enough & first)
+    pairs = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
     pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
     links = written(confirmed(written(merged(pairs, classes, least_matches)), sets, percent))
     return roots if links.isEmpty() else rerooted(roots, links)
