@@ -278,6 +278,7 @@ ORACLE: dict[str, str] = {
         "category_lead_time",
     ),
     "q1_from_layers": _sql('SELECT * EXCLUDE ("rank") FROM color_rank WHERE "rank" = 1', "color_rank"),
+    "q1_from_restarted_layers": _sql('SELECT * EXCLUDE ("rank") FROM color_rank WHERE "rank" = 1', "color_rank"),
     "raw_row_counts": _row_counts(),
     "first_products": _sql(
         f"""SELECT * FROM raw_product
@@ -390,6 +391,7 @@ ORACLE: dict[str, str] = {
     "q2_with_null_category": _all_of("category_lead_time", "ORDER BY AvgLeadTimeInBusinessDays DESC"),
     "revenue_by_year_color": _all_of("color_revenue"),
     "ranked_colors": _all_of("color_rank"),
+    "ranked_colors_spread": _all_of("color_rank"),
     "null_profile_lineitem": _null_profile("lineitem", _LINEITEM),
     "null_profile_documents": _null_profile("documents", ["doc_id", "text", "lang", "source", "n_chars"]),
     "rows_with_nulls_events": "SELECT * FROM events WHERE "
@@ -414,5 +416,8 @@ ORACLE: dict[str, str] = {
         GROUP BY l_returnflag""",
         "calendar",
     ),
+    "lineitem_price_ranks": """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+        row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC NULLS LAST,
+          l_orderkey ASC NULLS FIRST, l_linenumber ASC NULLS FIRST) AS price_rank FROM lineitem""",
     "customer_below_zero_balance": "SELECT * FROM customer WHERE c_acctbal < 0",
 }

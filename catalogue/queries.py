@@ -12,9 +12,11 @@ from catalogue.planted import raw_detail, raw_header, raw_product, raw_tables, t
 from tallyloom.functions.dates import business_days
 from tallyloom.functions.totals import merge_sum, partial_sum
 from tallyloom.operators import review, standardise, validate
+from tallyloom.operators.ranking import ranked_within
 from tallyloom.plans import pipeline, publish, quality, reports, store
 from tallyloom.schemas import DATE_PATTERN, LAYOUTS, ORDER_DETAIL, ORDER_HEADER, PRODUCT, Minimum
 from tallyloom.sources.csv import RawTables, ragged_records, read_csv, read_raw_tables, without_ragged, write_csv
+from tallyloom.sources.layers import write_table
 from tallyloom.sources.scratch import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +103,26 @@ def _top_color_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_color_per_year(published.orders, published.product)
 
 
+def _top_color_from_restarted_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where a run broke after its first table and a second one wrote the others."""
+    folder = fresh_folder(spark, "layers")
+    write_table(stored_product(spark, sf_dir), folder, "store_product")
+    stored = pipeline.write_store(raw_tables(spark, sf_dir), folder, restart=True)
+    published = pipeline.write_publish(stored, folder)
+    return reports.top_color_per_year(published.orders, published.product)
+
+
+def _ranked_colors_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ranked_colors(published_orders(spark, sf_dir), published_product(spark, sf_dir), spread=True)
+
+
+def _lineitem_price_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by price within the few values of their return flag, each far larger than a task at scale."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [F.desc_nulls_last("l_extendedprice"), F.asc_nulls_first("l_orderkey"), F.asc_nulls_first("l_linenumber")]
+    return ranked_within(lines, ["l_returnflag"], order, rank="price_rank")
+
+
 def _from_csv(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     """A report over the whole way: raw tables as CSV files, read as text, stored, published."""
 
@@ -200,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "read_csv_roundtrip": _read_csv_roundtrip,
     "read_csv_header_roundtrip": _read_csv_header_roundtrip,
     "q1_from_layers": _top_color_from_layers,
+    "q1_from_restarted_layers": _top_color_from_restarted_layers,
     "q1_from_csv": _from_csv(reports.top_color_per_year),
     "q2_from_csv": _from_csv(reports.lead_time_by_known_category),
     # Review of the raw tables
@@ -269,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "q2_with_null_category": _report(reports.lead_time_by_category),
     "revenue_by_year_color": _report(reports.revenue_by_year_color),
     "ranked_colors": _report(reports.ranked_colors),
+    "ranked_colors_spread": _ranked_colors_spread,
     # The same operators on the test tables as they are: other types, composite keys, long date gaps
     "null_profile_lineitem": _over(_table("lineitem"), review.null_profile),
     "null_profile_documents": _over(_table("documents"), review.null_profile),
@@ -288,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "documents_without_labels": _orphans(_table("documents"), "doc_id", _table("labels"), "doc_id"),
     "lineitem_ship_before_order": _lineitem_ship_before_order,
     "lineitem_lead_time": _lineitem_lead_time,
+    "lineitem_price_ranks": _lineitem_price_ranks,
     "customer_below_zero_balance": _over(
         _table("customer"), lambda df: validate.below_minimum(df, Minimum("c_acctbal"))
     ),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.categories import CATEGORY
 from tallyloom.functions.totals import merge_mean, merge_sum, partial_mean, partial_sum
 from tallyloom.operators.lookup import aggregate_by_attribute
+from tallyloom.operators.ranking import ranked_within
 from tallyloom.schemas import PRODUCT
 
 
@@ -24,13 +25,17 @@ def revenue_by_year_color(orders: DataFrame, product: DataFrame) -> DataFrame:
     return partial.groupBy("Year", "Color").agg(merge_sum().alias("TotalRevenue"))
 
 
-def ranked_colors(orders: DataFrame, product: DataFrame) -> DataFrame:
+def ranked_colors(orders: DataFrame, product: DataFrame, spread: bool = False) -> DataFrame:
     """Every colour with its ``rank`` within the year, highest revenue first, ties by colour.
 
-    The window sees one row per year and colour, after all lines are added up.
+    The window sees one row per year and colour, after all lines are added up, and gives each year to one task. Where
+    a year has many millions of colours, ``spread`` divides it over tasks, at the cost of writing those rows once.
     """
-    best_first = Window.partitionBy("Year").orderBy(F.desc_nulls_last("TotalRevenue"), F.asc_nulls_first("Color"))
-    return revenue_by_year_color(orders, product).withColumn("rank", F.row_number().over(best_first))
+    best_first = [F.desc_nulls_last("TotalRevenue"), F.asc_nulls_first("Color")]
+    revenue = revenue_by_year_color(orders, product)
+    if spread:
+        return ranked_within(revenue, ["Year"], best_first).withColumn("rank", F.col("rank").cast("int"))
+    return revenue.withColumn("rank", F.row_number().over(Window.partitionBy("Year").orderBy(*best_first)))
 
 
 def top_color_per_year(orders: DataFrame, product: DataFrame) -> DataFrame:

@@ -73,6 +73,13 @@ def test_ranks(orders, products):
     }
 
 
+def test_spread_ranks_are_the_same(orders, products):
+    spread = reports.ranked_colors(orders, products, spread=True)
+    plain = reports.ranked_colors(orders, products)
+    assert spread.dtypes == plain.dtypes
+    assert as_list(spread) == as_list(plain)
+
+
 @pytest.mark.usefixtures("either_ansi")
 def test_lead_time_is_weighted_by_line(orders, products):
     result = reports.lead_time_by_category(orders, products)

@@ -1,12 +1,12 @@
 import pytest
 from conftest import as_list, as_set
 
-from catalogue.planted import raw_tables
+from catalogue.planted import raw_tables, worse_tables
 from tallyloom.plans import pipeline, publish, reports
 from tallyloom.plans.store import store_tables
 from tallyloom.schemas import ORDER_DETAIL, ORDER_HEADER, PRODUCT
 from tallyloom.sources.csv import read_csv, read_raw_tables, write_csv
-from tallyloom.sources.layers import read_layer, write_layer
+from tallyloom.sources.layers import entries, write_layer, write_table
 from tallyloom.sources.scratch import fresh_folder, settle, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -81,6 +81,62 @@ def test_layer_is_not_overwritten(rows, tmp_path):
         write_layer(df, str(tmp_path / "layer"))
 
 
+@pytest.fixture
+def breaks_at_header(monkeypatch):
+    """The run ends after the files of the order headers and before their entry."""
+
+    def write(df, folder, name, seen=None):
+        if name == "store_header":
+            write_layer(df, f"{folder}/{name}-half")
+            raise RuntimeError("the driver is gone")
+        write_table(df, folder, name, seen)
+
+    monkeypatch.setattr(pipeline, "write_table", write)
+
+
+@pytest.mark.parametrize("write", [pipeline.write_store, pipeline.write_store_reported])
+def test_broken_run_is_not_read_and_can_go_on(spark, tmp_path, breaks_at_header, monkeypatch, write):
+    raw, folder = worse_tables(spark, SF_DIR), str(tmp_path / "layers")
+    with pytest.raises(RuntimeError):
+        write(raw, folder)
+    with pytest.raises(FileNotFoundError, match="store_header, store_detail"):
+        pipeline.read_store(spark, folder)
+    kept = entries(spark, folder)
+    assert set(kept) == {"store_product"}
+
+    monkeypatch.setattr(pipeline, "write_table", write_table)
+    with pytest.raises(FileExistsError, match="restart"):
+        write(raw, folder)
+    again, whole = write(raw, folder, restart=True), write(raw, str(tmp_path / "whole"))
+    assert entries(spark, folder)["store_product"] == kept["store_product"]
+    if write is pipeline.write_store_reported:
+        assert as_list(again.report) == as_list(whole.report)
+        again, whole = again.tables, whole.tables
+    for a, b in zip(again, whole):
+        assert a.dtypes == b.dtypes
+        assert as_list(a) == as_list(b)
+    assert as_list(pipeline.write_store(raw, folder, restart=True).detail) == as_list(whole.detail)
+
+
+def test_counts_of_tables_that_were_not_counted_are_null(spark, tmp_path):
+    raw = raw_tables(spark, SF_DIR)
+    pipeline.write_store(raw, str(tmp_path / "layers"))
+    report = pipeline.write_store_reported(raw, str(tmp_path / "layers"), restart=True).report
+    assert report.count() == 3 and report.where("StoreRows is null").count() == 3
+
+
+def test_entries_of_an_unfinished_manifest_and_of_two_runs(spark, rows, tmp_path):
+    folder, df = str(tmp_path / "layers"), rows([(1,)], "a int")
+    assert entries(spark, folder) == {}
+    (tmp_path / "layers" / "manifest" / "_temporary").mkdir(parents=True)
+    assert entries(spark, folder) == {}
+    write_table(df.limit(0), folder, "t")
+    assert set(entries(spark, folder)) == {"t"}
+    write_table(df, folder, "t")
+    with pytest.raises(ValueError, match="two runs"):
+        entries(spark, folder)
+
+
 def test_files_with_other_column_order_are_refused(spark, tmp_path):
     folder = tmp_path / "products.csv"
     folder.mkdir()
