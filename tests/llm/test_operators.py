@@ -221,6 +221,47 @@ def test_license_with_changed_words_is_found(spark):
     assert got == {1: "mit-grant", 2: ""}
 
 
+def plain_licenses(text):
+    """Templates by exact containment in every stretch of two blocks that starts at a block."""
+    cut = lambda x: re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", x.lower())
+    five = lambda x: [tuple(x[i : i + 5]) for i in range(len(x) - 4)]
+    own, found = five(cut(text or "")), {}
+    for name, template in license_scan.TEMPLATES.items():
+        wanted = set(five(cut(template)))
+        block = 1
+        while block < len(wanted):
+            block *= 2
+        shares = [(len(wanted.intersection(own[a : a + 2 * block])) / len(wanted), -a) for a in range(0, len(own), block)]
+        if shares and max(shares)[0] >= 0.75:
+            found[name] = (round(max(shares)[0], 9), -max(shares)[1])
+    return found
+
+
+def test_license_scan_against_every_window(spark, docs, plain):
+    """Whole documents, and texts with a template in the midst, whole, cut, changed or twice."""
+    rows = []
+    for n, template in enumerate(license_scan.TEMPLATES.values()):
+        words = template.split()
+        for k, change in enumerate([words, words[: max(1, int(len(words) * 0.8))], [w if i % 17 else "other" for i, w in enumerate(words, 1)], words + ["and"] + words]):
+            rows.append((20_000 + 10 * n + k, " ".join(["plain"] * (3 * n) + change + ["end"] * 40)))
+    table = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: {x.license: (round(x.containment, 9), x.first_word) for x in r.licenses} for r in license_scan.scan(table).collect()}
+    assert got == {key: plain_licenses(text) for key, text in [*plain.items(), *rows]}
+    assert sum(map(len, got.values())) > 60
+
+
+def test_license_variants_are_told_apart(spark):
+    notes = license_scan.TEMPLATES
+    two, third, fourth = (notes[f"bsd-{i}-clause"] for i in (2, 3, 4))
+    rows = [(1, two), (2, f"{two} 3. {third}"), (3, f"{two} {fourth} the organisation. 4. {third}"), (4, notes["mit-full"]), (5, notes["lgpl-2.1-header"]), (6, notes["gpl-2.0-header"])]
+    got = {r.doc_id: set(r.licenses.split(",")) for r in license_scan.op3_license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == {"bsd", "bsd-2-clause"}
+    assert got[2] == {"bsd", "bsd-2-clause", "bsd-3-clause"}
+    assert got[3] == {"bsd", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause"}
+    assert "mit-full" in got[4] and not any(x.startswith("bsd") for x in got[4])
+    assert "lgpl-2.1-header" in got[5] and "gpl-2.0-header" in got[6] and "lgpl-2.1-header" not in got[6]
+
+
 def test_language_models_on_held_out_documents(spark):
     table = spark.read.parquet(f"{MORE}/documents.parquet")
     got = language_id.op1_language_id(table).join(table.select("doc_id", "lang"), "doc_id").toPandas()
