@@ -237,15 +237,18 @@ class TextScorer:
         self._scores = np.zeros((0, len(self._model.langs) + 1), dtype=np.float32)
         self._unsure: set[str] = set()
 
-    def __call__(self, values: list) -> np.ndarray:
+    def __call__(self, values: list | pa.Array) -> np.ndarray:
         """Per text, the summed log probability in each language, then the number of symbols."""
         return self.parts(values)[0]
 
-    def parts(self, values: list) -> tuple[np.ndarray, dict[int, Counter]]:
-        """The same without the words that need strings left out of the tables; and by text those words."""
+    def parts(self, values: list | pa.Array) -> tuple[np.ndarray, dict[int, Counter]]:
+        """The same without the words that need strings left out of the tables; and by text those words.
+
+        Of an array only a few texts at a time become Python strings."""
         out, unsure = np.zeros((len(values), len(self._model.langs) + 1)), {}
         for at in range(0, len(values), 256):
-            lists = [self._find((v or "").lower()) for v in values[at : at + 256]]
+            some = values[at : at + 256]
+            lists = [self._find((v or "").lower()) for v in (some if isinstance(some, list) else some.to_pylist())]
             new = [w for w in dict.fromkeys(w for x in lists for w in x) if w not in self._place]
             if len(self._place) + len(new) > self._limit:
                 self._clear()
@@ -298,13 +301,18 @@ def scored(docs: DataFrame, model: Model, text: str, kept: list[str], finish: Ca
     add goes back to their texts by a digest.
     """
     shared = Carried(docs.sparkSession, replace(model, rest=None))
-    picked = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    picked = docs.select(F.struct(*kept).alias("row"), *([] if text in kept else [F.col(text).alias("text")]))
+
+    def texts_of(batch: pa.RecordBatch) -> pa.Array:
+        """The texts, which are sent once: within the row where it carries them."""
+        return batch.column(0).field(text) if text in kept else batch.column(1)
+
     if model.rest is None:
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = TextScorer(shared.value)
             for batch in batches:
-                yield finish(shared.value, batch.column(0), scorer(batch.column(1).to_pylist()))
+                yield finish(shared.value, batch.column(0), scorer(texts_of(batch)))
 
         return picked.mapInArrow(whole, schema)
 
@@ -314,9 +322,9 @@ def scored(docs: DataFrame, model: Model, text: str, kept: list[str], finish: Ca
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = TextScorer(shared.value)
         for batch in batches:
-            values = batch.column(1).to_pylist()
+            values = texts_of(batch)
             sums, unsure = scorer.parts(values)
-            marks = [hashlib.blake2b(v.encode(), digest_size=16).hexdigest() if i in unsure else None for i, v in enumerate(values)]
+            marks = [hashlib.blake2b(values[i].as_py().encode(), digest_size=16).hexdigest() if i in unsure else None for i in range(len(values))]
             later = [[{"word": w, "n": n} for w, n in unsure[i].items()] if i in unsure else None for i in range(len(values))]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sums), pa.array(marks, pa.string()), pa.array(later, counted)], names=["row", "sums", "mark", "words"])
 

@@ -129,23 +129,26 @@ def sets_of(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFra
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            names, sets = [], []
+            names, sets, held = [], [], 0
             for _, shingles in shingle_sets(batch.column(0), size):
                 if not len(shingles):
                     continue
                 name = named(shingles)
                 if name not in seen and in_bitmap(shared.value, np.array(name[:1], dtype=np.int64).view(np.uint64))[0]:
                     names.append(name), sets.append(shingles.view(np.int64))
+                    held += len(shingles)
                     if len(seen) < 200_000:
                         seen.add(name)
-                if sum(map(len, sets[-64:])) > 4_000_000 or len(sets) >= 2_000:
+                if held > 500_000:
                     yield out(names, sets)
-                    names, sets = [], []
-            yield out(names, sets)
+                    names, sets, held = [], [], 0
+            if sets:
+                yield out(names, sets)
 
     def out(names: list, sets: list) -> pa.RecordBatch:
         one, two = (pa.array([x[i] for x in names], pa.int64()) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([one, two, pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "check", "shingles"])
+        ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+        return pa.RecordBatch.from_arrays([one, two, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], names=["set_id", "check", "shingles"])
 
     each = docs.select(F.col(text).alias("text")).mapInArrow(found, "set_id long, check long, shingles array<long>")
     return each.dropDuplicates(["set_id", "check"]).join(wanted, ["set_id", "check"]).select("id", "shingles")

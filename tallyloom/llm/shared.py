@@ -24,7 +24,8 @@ class Carried:
     """A broadcast value that may hold classes of this subpackage.
 
     Broadcasts name classes, so a worker that cannot import the subpackage could not read them. This one is sent as
-    bytes that carry the code of its classes along.
+    bytes that carry the code of its classes along. A task reads the bytes from the worker's file and does not keep
+    them beside what they hold.
     """
 
     def __init__(self, spark: SparkSession, value: object):
@@ -35,6 +36,7 @@ class Carried:
     def value(self):
         if self._held is None:
             self._held = pickle.loads(self._sent.value)
+            vars(self._sent).pop("_value", None)
         return self._held
 
     def __getstate__(self) -> dict:
