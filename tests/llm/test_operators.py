@@ -202,6 +202,21 @@ def test_repeats_against_all_windows(docs, plain):
         assert got[key] == (len(t), sum(mark), spans, hashlib.sha256(kept).hexdigest()), key
 
 
+def test_short_shared_passages_send_no_windows(spark, monkeypatch):
+    """Passages of under 350 bytes give minimisers with runs of differing content, but no two windows can be equal."""
+    sent, edges = [], repeats.edge_windows
+    monkeypatch.setattr(repeats, "edge_windows", lambda *args: sent.append(args) or edges(*args))
+    rng = np.random.default_rng(5)
+    filling = ["".join(map(chr, rng.integers(97, 123, 900))) for _ in range(25)]
+    short, longer = filling[20][:330], filling[21][:420]
+    rows = [(i, f"{x[:400]}{short}{x[400:]}") for i, x in enumerate(filling[:20])]
+    assert {r.n_removed for r in repeats.op10_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+    assert sum(edges(*args).count() for args in sent) == 0
+    rows += [(i, f"{filling[i][:300]}{longer}{filling[i][300:]}") for i in (22, 23)]
+    got = repeats.op10_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got if r.n_removed} == {22: 420, 23: 420}
+
+
 def test_license_scan_against_containment(spark):
     notes = license_scan.TEMPLATES
     rows = [(i, f"before {'and ' * (7 * i)}{x.upper()} after that comes more") for i, x in enumerate(notes.values())]
