@@ -202,6 +202,30 @@ def test_repeats_against_all_windows(docs, plain):
         assert got[key] == (len(t), sum(mark), spans, hashlib.sha256(kept).hexdigest()), key
 
 
+def test_repeats_of_words_against_all_windows(spark, docs):
+    """Passages of 50 words or more that repeat go too, most of them shorter than 400 bytes."""
+    passage = " ".join(f"w{i}" for i in range(70))
+    more = [(9500, f"a {passage} b"), (9501, f"c d {passage.replace(' ', chr(10))}\te"), (9502, passage.upper()), (9503, " ".join(passage.split()[:49]))]
+    table = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    data = {r.doc_id: (r.text or "").encode() for r in table.collect()}
+    found = {k: [(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for k, t in data.items()}
+    windows = {k: [tuple(x[2] for x in w[i : i + 50]) for i in range(len(w) - 49)] for k, w in found.items()}
+    strings = Counter(t[i : i + 400] for t in data.values() for i in range(len(t) - 399))
+    passages = Counter(x for w in windows.values() for x in w)
+    got = {r.doc_id: r for r in repeats.without_repeats(table, n_words=50).collect()}
+    for key, t in data.items():
+        spans = [(i, i + 400) for i in range(len(t) - 399) if strings[t[i : i + 400]] > 1]
+        spans += [(found[key][i][0], found[key][i + 49][1]) for i, x in enumerate(windows[key]) if passages[x] > 1]
+        kept, end = [], 0
+        for a, b in sorted(spans):
+            kept.append(t[end:a] if a > end else b"")
+            end = max(end, b)
+        kept = b"".join([*kept, t[end:]])
+        assert (got[key].n_removed, got[key].kept_sha256) == (len(t) - len(kept), hashlib.sha256(kept).hexdigest()), key
+    assert [got[k].kept.decode() for k in (9500, 9501)] == ["a  b", "c d \te"] and len(passage) < 400
+    assert [got[k].n_removed for k in (9502, 9503)] == [0, 0]
+
+
 def test_short_shared_passages_send_no_windows(spark, monkeypatch):
     """Passages of under 350 bytes give minimisers with runs of differing content, but no two windows can be equal."""
     sent, edges = [], repeats.edge_windows
